@@ -19,12 +19,16 @@ from corridor.functions.scalars import ratio
 # the pandas function below travels with its job: executors need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Seed, number of starts, and the numbers of clusters tried.
+# Seed, number of starts, most iterations of a run, and the
+# numbers of clusters tried.
 SEED = 42
 STARTS = 10
+MOST_ITERATIONS = 300
 CANDIDATE_K = (3, 4)
 
 POINTS_PER_BLOCK = 1024
+MOST_TASKS = 20_000
+DAYS_PER_PARTITION = 20_000
 
 
 def standardized(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -47,16 +51,23 @@ def with_features(df: DataFrame, columns: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=columns, outputCol="features").transform(df)
 
 
-def best_kmeans(featured: DataFrame, k: int, starts: int = STARTS, seed: int = SEED) -> KMeansModel:
-    """The cheapest of several k-means runs. The runs are independent Spark jobs
-    and are submitted side by side; equal costs go to the lowest seed."""
+def best_kmeans(
+    featured: DataFrame, ks: tuple[int, ...], starts: int = STARTS, seed: int = SEED
+) -> dict[int, KMeansModel]:
+    """For each k the cheapest of several k-means runs; equal costs go to the
+    lowest seed. The runs are independent Spark jobs, submitted side by side."""
 
-    def fit(run: int) -> KMeansModel:
-        return KMeans(k=k, seed=seed + run, maxIter=100, featuresCol="features").fit(featured)
+    def fit(run: tuple[int, int]) -> KMeansModel:
+        k, start = run
+        return KMeans(k=k, seed=seed + start, maxIter=MOST_ITERATIONS, featuresCol="features").fit(featured)
 
-    with ThreadPoolExecutor(4) as pool:
-        models = list(pool.map(fit, range(starts)))
-    return min(models, key=lambda model: model.summary.trainingCost)
+    runs = [(k, start) for k in ks for start in range(starts)]
+    with ThreadPoolExecutor(starts) as pool:
+        models = list(pool.map(fit, runs))
+    return {
+        k: min((m for run, m in zip(runs, models, strict=True) if run[0] == k), key=lambda m: m.summary.trainingCost)
+        for k in ks
+    }
 
 
 def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -99,12 +110,15 @@ def silhouette_samples(
         F.col(values).cast("array<double>").alias("v"),
         F.pmod(F.xxhash64(point), F.lit(blocks)).cast("int").alias("block"),
     )
-    left = keyed.withColumn("partner", F.explode(every)).groupBy("block", "partner")
+    tasks = min(blocks * blocks, MOST_TASKS)
+    left = keyed.withColumn("partner", F.explode(every)).repartition(tasks, "block", "partner")
     right = (
-        keyed.withColumnRenamed("block", "partner").withColumn("block", F.explode(every)).groupBy("block", "partner")
+        keyed.withColumnRenamed("block", "partner")
+        .withColumn("block", F.explode(every))
+        .repartition(tasks, "block", "partner")
     )
     kind = points.schema[point].dataType.simpleString()
-    sums = left.cogroup(right).applyInPandas(
+    sums = left.groupBy("block", "partner").cogroup(right.groupBy("block", "partner")).applyInPandas(
         _block_sums, f"point {kind}, label int, other int, distance double, members bigint"
     )
     per_cluster = sums.groupBy("point", "label", "other").agg(
@@ -136,11 +150,13 @@ def choose_k(
 
     ``days`` holds one row per calendar day and should be a written table.
     """
-    featured = with_features(standardized(days, columns), columns).cache()
+    # a few thousand days are one small partition, so each run's jobs are one task
+    parts = ceil(days.count() / DAYS_PER_PARTITION)
+    featured = with_features(standardized(days, columns), columns).coalesce(max(1, parts)).cache()
     scores: dict[int, float] = {}
     best: tuple[int, DataFrame] | None = None
-    for k in candidates:
-        labelled = best_kmeans(featured, k).transform(featured)
+    for k, model in best_kmeans(featured, candidates).items():
+        labelled = model.transform(featured)
         points = labelled.select(day, "prediction", F.array(*columns).alias("values"))
         scores[k] = mean_silhouette(points, day, "prediction", "values").first()["silhouette"]
         if best is None or scores[k] > scores[best[0]]:

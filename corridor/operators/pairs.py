@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corridor.functions.spatial import planar_distance
 from corridor.operators.setops import mirrored
 
-ZONES_PER_BLOCK = 128
+ZONES_PER_BLOCK = 256
+MOST_TASKS = 20_000
 
 
 def unordered_pairs(zones: DataFrame, key: str, carried: list[str], blocks: int | None = None) -> DataFrame:
@@ -32,6 +33,10 @@ def unordered_pairs(zones: DataFrame, key: str, carried: list[str], blocks: int
     high = zones.select(
         *(F.col(name).alias(f"b_{name}") for name in names), F.explode(every).alias("_i"), block.alias("_j")
     )
+    # the input is small and the output is not: a fixed number of tasks keeps
+    # adaptive execution from folding the block pairs into one
+    tasks = min(blocks * blocks, MOST_TASKS)
+    low, high = (side.repartition(tasks, "_i", "_j") for side in (low, high))
     met = low.join(high.hint("shuffle_hash"), ["_i", "_j"]).filter(F.col(f"a_{key}") < F.col(f"b_{key}"))
     return met.drop("_i", "_j")
 

@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 
 from corridor.session import settle
 
-VALUES_PER_RANGE = 250_000
+VALUES_PER_RANGE = 100_000
 MOST_RANGES = 4096
 
 
-def value_ranks(df: DataFrame, value: Column, ranges: int | None = None) -> DataFrame:
-    """(value, rows, rank, total): each distinct value, how many rows hold it,
-    the 1-based rank they share, and the row count. NULL ranks last.
+def _placed_counts(df: DataFrame, value: Column, ranges: int | None) -> DataFrame:
+    """(value, rows, _range): each distinct value, how many rows hold it, and
+    the range it falls in. NULL has a range of its own, the last.
 
-    The number of ranges follows from the number of distinct values. The result
-    is the same however often a lost task is run again: the counts are a written
-    table and the cuts are literals.
+    The number of ranges follows from the number of distinct values. Reading
+    the result again gives the same rows, however often a lost task is rerun:
+    the counts are a written table and the cuts are literals.
     """
     values = df.select(value.cast("double").alias("value"))
     counted = settle(values.groupBy("value").agg(F.count("*").alias("rows")), "value_counts")
@@ -36,7 +36,13 @@ def value_ranks(df: DataFrame, value: Column, ranges: int | None = None) -> Data
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
         cuts = counted.agg(F.percentile_approx("value", shares, 10 * MOST_RANGES).alias("cuts")).first()["cuts"] or []
-    placed = counted.withColumn("_range", _range_of("value", sorted(set(cuts))))
+    return counted.withColumn("_range", _range_of("value", sorted(set(cuts))))
+
+
+def value_ranks(df: DataFrame, value: Column, ranges: int | None = None) -> DataFrame:
+    """(value, rows, rank, total): each distinct value, how many rows hold it,
+    the 1-based rank they share, and the row count. NULL ranks last."""
+    placed = _placed_counts(df, value, ranges)
     sizes = placed.groupBy("_range").agg(F.sum("rows").alias("_size"))
     # at most ranges + 1 rows, so this unpartitioned window stays tiny
     running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -45,10 +51,14 @@ def value_ranks(df: DataFrame, value: Column, ranges: int | None = None) -> Data
         F.coalesce(F.sum("_size").over(running), F.lit(0)).alias("_before"),
         F.sum("_size").over(Window.partitionBy()).alias("total"),
     )
-    inside = Window.partitionBy("_range").orderBy(F.col("value").asc_nulls_last())
-    earlier = F.coalesce(F.sum("rows").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = placed.join(F.broadcast(starts), "_range")  # as many rows as there are ranges
-    return ranked.select("value", "rows", (F.col("_before") + earlier + 1).alias("rank"), "total")
+    return ranked.select("value", "rows", (F.col("_before") + _earlier() + 1).alias("rank"), "total")
+
+
+def _earlier() -> Column:
+    """Rows with a smaller value inside the same range."""
+    inside = Window.partitionBy("_range").orderBy(F.col("value").asc_nulls_last())
+    return F.coalesce(F.sum("rows").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def _range_of(value: str, cuts: list[float]) -> Column:
@@ -79,25 +89,49 @@ def percent_rank(df: DataFrame, value: Column, name: str) -> DataFrame:
     return met.select(*(F.col(f"l.{column}") for column in df.columns), F.col(f"r.{name}"))
 
 
-def percent_rank_band(df: DataFrame, value: Column, low: float, high: float) -> DataFrame:
+def percent_rank_band(
+    df: DataFrame, value: Column, low: float, high: float, ranges: int | None = None
+) -> DataFrame:
     """Rows whose percent rank lies in [low, high].
 
     Equal values share a rank, so the band is an interval of values: only its
-    two ends are looked up, and no row needs its own rank or a join.
+    two ends are looked up, and no row needs its own rank or a join. The range
+    sizes tell which ranges hold an end; only those are sorted.
     """
-    ranks = value_ranks(df, value)
-    inside = _percent(F.col("rank"), F.col("total")).between(low, high)
-    ends = (
-        ranks.filter(inside)
-        .agg(
-            F.min("value").alias("first"),
-            F.max("value").alias("last"),
-            F.count_if(F.col("value").isNull()).alias("nulls"),
-        )
-        .first()
+    placed = _placed_counts(df, value, ranges)
+    summary = (
+        placed.groupBy("_range")
+        .agg(F.sum("rows").alias("size"), F.min("value").alias("first"), F.max("value").alias("last"))
+        .orderBy("_range")
+        .collect()  # as many rows as there are ranges
     )
+    total = sum(part["size"] for part in summary)
+
+    def percent(rank: int) -> float:
+        return (rank - 1) / (total - 1) if total > 1 else 0.0
+
+    ends: list[float] = []
+    cut_ranges: dict[int, int] = {}
+    nulls_inside = False
+    before = 0
+    for part in summary:
+        lowest, highest = percent(before + 1), percent(before + part["size"])
+        if part["first"] is None:
+            nulls_inside = low <= lowest <= high
+        elif low <= lowest and highest <= high:
+            ends += [part["first"], part["last"]]
+        elif highest >= low and lowest <= high:
+            cut_ranges[part["_range"]] = before
+        before += part["size"]
+    if cut_ranges:
+        offset = F.coalesce(*(F.when(F.col("_range") == part, start) for part, start in cut_ranges.items()))
+        ranked = placed.filter(F.col("_range").isin(list(cut_ranges))).select(
+            "value", _percent(offset + _earlier() + 1, F.lit(total)).alias("pr")
+        )
+        found = ranked.filter(F.col("pr").between(low, high)).agg(F.min("value"), F.max("value")).first()
+        ends += [end for end in found if end is not None]
     number = value.cast("double")
-    kept = number.isNull() if ends["nulls"] else F.lit(False)
-    if ends["first"] is not None:
-        kept = kept | F.coalesce(number.between(ends["first"], ends["last"]), F.lit(False))
+    kept = number.isNull() if nulls_inside else F.lit(False)
+    if ends:
+        kept = kept | F.coalesce(number.between(min(ends), max(ends)), F.lit(False))
     return df.filter(kept)

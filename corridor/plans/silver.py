@@ -32,8 +32,8 @@ def district_map(relation_table: DataFrame) -> DataFrame:
     return settle(filters.distinct_pairs(relation_table, "distrito_mitma", "distrito_ine"), "district_map")
 
 
-def geometries(centroids: DataFrame, outlines: DataFrame, relation_table: DataFrame) -> DataFrame:
-    return joins.zone_geometries(centroids, outlines, district_map(relation_table))
+def geometries(centroids: DataFrame, outlines: DataFrame, mapping: DataFrame) -> DataFrame:
+    return joins.zone_geometries(centroids, outlines, mapping)
 
 
 def demographics(population: DataFrame, income: DataFrame, relation_table: DataFrame) -> DataFrame:
@@ -44,25 +44,22 @@ def demographics(population: DataFrame, income: DataFrame, relation_table: DataF
     return aggregates.district_income(yearly.join(sections, "seccion_id"))
 
 
-def trips(bronze: DataFrame, relation_table: DataFrame) -> DataFrame:
+def trips(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     """Trips per day, hour, origin and destination under statistical codes.
 
     With the small code map broadcast, scan, both lookups and the partial sum
     are one stage, so a busy origin folds on the map side before the one shuffle.
     """
     mapped = joins.recode_both_ends(
-        bronze.select("date", "period", "origin", "destination", "travels", "travels_km"),
-        district_map(relation_table),
+        bronze.select("date", "period", "origin", "destination", "travels", "travels_km"), mapping
     )
     return aggregates.by_od_hour(mapped).select(*SILVER_TRIPS.fieldNames())
 
 
-def od_totals(bronze: DataFrame, relation_table: DataFrame) -> DataFrame:
+def od_totals(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     """OD sums under statistical codes straight from landed trips: the same
     numbers as summing ``trips`` again, with one shuffle instead of two."""
-    mapped = joins.recode_both_ends(
-        bronze.select("origin", "destination", "travels"), district_map(relation_table)
-    )
+    mapped = joins.recode_both_ends(bronze.select("origin", "destination", "travels"), mapping)
     return aggregates.od_totals(mapped)
 
 

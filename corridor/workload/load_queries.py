@@ -196,7 +196,8 @@ def skip_already_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def write_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "clustered")
-    trips = silver.trips(t.legs(spark, sf_dir), silver.relation(t.relation(spark, sf_dir)))
+    mapping = silver.district_map(silver.relation(t.relation(spark, sf_dir)))
+    trips = silver.trips(t.legs(spark, sf_dir), mapping)
     loads.clustered(trips, "date", "origin_id", "destination_id").write.parquet(path)
     return spark.read.parquet(path).withColumn("travels_km", F.round("travels_km", 2))
 

@@ -22,6 +22,7 @@ from corridor.workload.relational_queries import (
     PAIR_DISTANCE,
     PARTIALS,
     demographics,
+    district_map,
     fixed_patterns,
     geometries,
     halved_partials,
@@ -229,10 +230,10 @@ def ml_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ml_kmeans")
 def ml_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days of hourly activity in three clusters: the centres and their sizes."""
+    """Days of hourly activity in three clusters."""
     scores = settle(clustering.standardized(activity_profile(spark, sf_dir), HOUR_COLUMNS), "scores")
     featured = clustering.with_features(scores, HOUR_COLUMNS)
-    model = clustering.best_kmeans(featured, 3)
+    model = clustering.best_kmeans(featured, (3,))[3]
     return model.transform(featured).select("date", F.col("prediction").alias("cluster"))
 
 
@@ -441,9 +442,12 @@ def prod_gravity_features_batched(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def gap_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    od = silver.od_totals(t.legs(spark, sf_dir), silver_relation(spark, sf_dir))
+    mapping = district_map(spark, sf_dir)
     features = gold.gravity_features(
-        od, demographics(spark, sf_dir), YEAR, geometries=geometries(spark, sf_dir)
+        silver.od_totals(t.legs(spark, sf_dir), mapping),
+        demographics(spark, sf_dir),
+        YEAR,
+        geometries=geometries(spark, sf_dir, mapping),
     )
     return gold.infrastructure_gaps(features)
 
@@ -468,29 +472,31 @@ def topk_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "agg_avg_by_zone",
-    """SELECT c_nationkey AS origin_id, round(AVG(c_acctbal), 6) AS avg_gap_ratio, n_name AS geom_wkt
+    """SELECT c_nationkey AS origin_id, AVG(round(c_acctbal * 100)) AS avg_gap_ratio, n_name AS geom_wkt
        FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 3""",
 )
 def agg_avg_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = t.load(spark, sf_dir, "customer").select(
-        F.col("c_nationkey").alias("origin_id"), F.col("c_acctbal").alias("gap_ratio")
+        F.col("c_nationkey").alias("origin_id"), F.round(F.col("c_acctbal") * 100).alias("gap_ratio")
     )
     zones = t.load(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("distrito_id"), F.col("n_name").alias("geometria")
     )
-    return places(aggregates.mean_gap_by_zone(values, zones), 6, "avg_gap_ratio")
+    return aggregates.mean_gap_by_zone(values, zones)
 
 
 @query(
     "prod_gap_map_data",
     statement(
-        """SELECT g.origin_id, round(AVG(g.gap_ratio), 6) AS avg_gap_ratio, s.geometria AS geom_wkt
+        """SELECT g.origin_id, AVG(round(g.gap_ratio * 10000)) / 10000 AS avg_gap_ratio, s.geometria AS geom_wkt
            FROM gaps g JOIN geometries s ON g.origin_id = s.distrito_id GROUP BY 1, 3"""
     ),
 )
 def prod_gap_map_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = aggregates.mean_gap_by_zone(gap_report(spark, sf_dir), geometries(spark, sf_dir))
-    return places(found, 6, "avg_gap_ratio")
+    """Averaged in ten-thousandths, which add up exactly in any order."""
+    whole = gap_report(spark, sf_dir).withColumn("gap_ratio", F.round(F.col("gap_ratio") * 10000))
+    found = aggregates.mean_gap_by_zone(whole, geometries(spark, sf_dir))
+    return found.withColumn("avg_gap_ratio", F.col("avg_gap_ratio") / 10000)
 
 
 FANOUT = {

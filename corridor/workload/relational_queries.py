@@ -20,15 +20,21 @@ def silver_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.relation(t.relation(spark, sf_dir))
 
 
+def district_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.district_map(silver_relation(spark, sf_dir))
+
+
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.trips(t.legs(spark, sf_dir), silver_relation(spark, sf_dir))
+    return silver.trips(t.legs(spark, sf_dir), district_map(spark, sf_dir))
 
 
-def geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geometries(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) -> DataFrame:
     """Zones under statistical codes, written once."""
     own = t.geometries(spark, sf_dir)
     found = silver.geometries(
-        own.select("distrito_id", "centroide"), own.select("distrito_id", "geometria"), silver_relation(spark, sf_dir)
+        own.select("distrito_id", "centroide"),
+        own.select("distrito_id", "geometria"),
+        district_map(spark, sf_dir) if mapping is None else mapping,
     )
     return settle(found, "geometries")
 
@@ -133,7 +139,7 @@ def join_zone_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def join_od_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = t.legs(spark, sf_dir).select("date", "period", "origin", "destination", "travels")
-    return joins.recode_both_ends(trips, silver.district_map(silver_relation(spark, sf_dir)))
+    return joins.recode_both_ends(trips, district_map(spark, sf_dir))
 
 
 @query(
@@ -605,11 +611,13 @@ def fn_floor_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("fn_power", "SELECT p_partkey, POWER(p_retailprice, 2) AS squared, p_retailprice ** 2 AS caret FROM part")
+@query("fn_power", """SELECT p_partkey, round(POWER(p_retailprice, 2), 4) AS squared, round(p_retailprice ** 2, 4) AS caret FROM part""")
 def fn_power(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.col("p_retailprice")
     return t.load(spark, sf_dir, "part").select(
-        "p_partkey", F.pow(price, F.lit(2.0)).alias("squared"), F.pow(price, F.lit(2.0)).alias("caret")
+        "p_partkey",
+        s.rounded(F.pow(price, F.lit(2.0)), 4).alias("squared"),
+        s.rounded(F.pow(price, F.lit(2.0)), 4).alias("caret"),
     )
 
 
