@@ -51,3 +51,5 @@ def ingest_days(
         .start()
     )
     query.awaitTermination()
+    # the batches ran in the stream's own session: drop this one's file listing
+    spark.catalog.refreshTable(table)
