@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor.functions.scalars import ratio
+from corridor.session import settle
 
 # the pandas function below travels with its job: executors need not have this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -156,11 +157,12 @@ def choose_k(
     scores: dict[int, float] = {}
     best: tuple[int, DataFrame] | None = None
     for k, model in best_kmeans(featured, candidates).items():
-        labelled = model.transform(featured)
-        points = labelled.select(day, "prediction", F.array(*columns).alias("values"))
-        scores[k] = mean_silhouette(points, day, "prediction", "values").first()["silhouette"]
+        points = model.transform(featured).select(day, "prediction", F.array(*columns).alias("values"))
+        labelled = settle(points, "labelled_days")
+        scores[k] = mean_silhouette(labelled, day, "prediction", "values").first()["silhouette"]
         if best is None or scores[k] > scores[best[0]]:
             best = (k, labelled.select(day, "prediction"))
+    featured.unpersist()
     return best[0], scores, best[1]
 
 

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.operators.setops import except_distinct
@@ -66,17 +66,19 @@ def append_by_name(df: DataFrame, table: str) -> DataFrame:
 def replace_days(df: DataFrame, table: str, days: Iterable[object], column: str = "date") -> DataFrame:
     """Replace the given days of a table partitioned by ``column``.
 
-    One job rewrites the partitions of every day that has rows. A requested day
-    without rows ends up empty too: its partition is dropped. The table must
-    have been created here with ``partition_by=[column]``.
+    One job rewrites the partitions of every day that has rows and notes which
+    days those were. A requested day without rows ends up empty too: its
+    partition is dropped. The table must have been created here with
+    ``partition_by=[column]``.
     """
     spark = df.sparkSession
     wanted = sorted({str(day) for day in days})
     target = spark.table(table)
     rows = df.filter(F.col(column).isin([F.lit(day).cast("date") for day in wanted])).select(*target.columns)
-    rows.write.mode("overwrite").insertInto(table)
-    present = {str(row[0]) for row in rows.select(column).distinct().collect()}
-    emptied = [day for day in wanted if day not in present]
+    seen = Observation()
+    # a set of at most as many days as were asked for
+    rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days")).write.mode("overwrite").insertInto(table)
+    emptied = sorted(set(wanted) - set(seen.get["days"]))
     if emptied:
         parts = ", ".join(f"PARTITION ({column}=DATE'{day}')" for day in emptied)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
@@ -100,14 +102,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
     """
     values = [name for name in target.columns if name not in keys]
     per_key = source.groupBy(*keys).agg(
-        F.count("*").alias("_matches"), F.any_value(F.struct(*values)).alias("_new")
+        F.count("*").alias("_matches"), *(F.any_value(name).alias(f"_new_{name}") for name in values)
     )
     hit = F.col("s._matches").isNotNull()
     twice = F.raise_error(F.lit(f"two source rows match one target row on {keys}"))
 
     def fresh(name: str) -> Column:
         failed = F.when(F.col("s._matches") > 1, twice.cast(target.schema[name].dataType))
-        return failed.when(hit, F.col(f"s._new.{name}")).otherwise(F.col(f"t.{name}")).alias(name)
+        return failed.when(hit, F.col(f"s._new_{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
     # rows with a NULL key cannot match: they pass around the join and its shuffle
     matchable = target if null_safe else target.filter(_no_null(keys))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from corridor.session import settle
 
 VALUES_PER_RANGE = 100_000
-MOST_RANGES = 4096
+MOST_RANGES = 1024
 
 
 def _placed_counts(df: DataFrame, value: Column, ranges: int | None) -> DataFrame:

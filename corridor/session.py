@@ -44,8 +44,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing has written to yet."""
-    return f"{shared_folder(spark)}/corridor/{uuid.uuid4().hex}/{name}"
+    """A path under the shared folder that nothing has written to yet.
+
+    All paths of one application share a folder named after it, so that they
+    can be removed together once its results are no longer read.
+    """
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/corridor/{application}/{uuid.uuid4().hex}/{name}"
 
 
 def new_database(spark: SparkSession) -> str:

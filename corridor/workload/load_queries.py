@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corridor.operators import loads
 from corridor.plans import bronze, silver
 from corridor.schemas import TRIP_DIMENSIONS
-from corridor.session import new_database, new_path
+from corridor.session import new_database, new_path, settle
 from corridor.sources import feed
 from corridor.streaming.daily import ingest_days
 from corridor.workload import tables as t
@@ -110,7 +110,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def upsert_composite_2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    income = t.section_series(spark, sf_dir, "income")
+    income = settle(t.section_series(spark, sf_dir, "income"), "income")
     target = income.filter("fecha < '1999'")
     source = income.filter("fecha >= '1997'").withColumn("valor", F.col("valor") + 1)
     return loads.upsert(target, source, ["codigo", "fecha"])
@@ -128,7 +128,7 @@ UPSERT_13 = """
 def upsert_composite_13(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A missing gender is part of the key and matches nothing: such rows of the
     shared year appear twice."""
-    trips = _bronze(spark, sf_dir)
+    trips = settle(_bronze(spark, sf_dir), "bronze_trips")
     target = trips.filter("date < DATE '1999-01-01'")
     source = trips.filter("date >= DATE '1998-01-01'").withColumn("travels", F.col("travels") + 1)
     merged = loads.upsert(target, source, TRIP_DIMENSIONS)

@@ -184,12 +184,12 @@ ALL_DISTANCES = statement(
     "pairwise_distances",
     statement(
         "SELECT origin_id, destination_id, round(distance_meters, 4) AS distance_meters "
-        f"FROM ({PAIR_DISTANCE.format(test='<>')})"
+        f"FROM ({PAIR_DISTANCE.format(test='<>').replace('own_zones', 'fine_zones')})"
     ),
 )
 def pairwise_distances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Between the zones under their own codes."""
-    zones = settle(t.geometries(spark, sf_dir), "zones")
+    """Between the zones of the finer grid."""
+    zones = settle(t.fine_zones(spark, sf_dir), "zones")
     return places(pairs.pair_distances(zones), 4, "distance_meters")
 
 
@@ -396,10 +396,10 @@ def _features_sql(od: str) -> str:
     ),
 )
 def prod_gravity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the trips inside the study area, through the distance table."""
+    """Of the trips inside the study area."""
     zones = geometries(spark, sf_dir)
     od = aggregates.od_totals(gold.trips_in_region(silver_trips(spark, sf_dir), zones))
-    features = gold.gravity_features(od, demographics(spark, sf_dir), YEAR, distances=silver.distances(zones))
+    features = gold.gravity_features(od, demographics(spark, sf_dir), YEAR, geometries=zones)
     return places(features, 4, "dist_meters", "gravity_raw")
 
 
@@ -580,7 +580,9 @@ def prod_infrastructure_gaps_gen1(spark: SparkSession, sf_dir: str) -> DataFrame
     ),
 )
 def prod_mobility_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return first_generation.mobility_patterns(silver_trips(spark, sf_dir), exact=True)
+    """The exact median reads the trips several times: they are written first."""
+    trips = settle(silver_trips(spark, sf_dir).select("date", "period", "travels"), "trips")
+    return first_generation.mobility_patterns(trips, exact=True)
 
 
 @query("prod_daily_profile", statement("SELECT * FROM daily_profile"))

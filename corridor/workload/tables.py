@@ -15,6 +15,7 @@ from corridor.functions import wkt
 from corridor.schemas import TRIP_FIELDS
 
 ZONES = 500
+FINE_ZONES = 2000
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,10 +66,10 @@ def relation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def zone_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def zone_points(spark: SparkSession, sf_dir: str, zones: int = ZONES) -> DataFrame:
     """(zone, x, y): whole projected metres, the mean of a zone's vectors."""
     micro = load(spark, sf_dir, "embeddings").selectExpr(
-        f"lpad(CAST(vec_id % {ZONES} AS STRING), 3, '0') AS zone",
+        f"lpad(CAST(vec_id % {zones} AS STRING), {len(str(zones - 1))}, '0') AS zone",
         "CAST(floor(CAST(embedding[0] AS DOUBLE) * CAST(1000000 AS DOUBLE)) AS BIGINT) AS mx",
         "CAST(floor(CAST(embedding[1] AS DOUBLE) * CAST(1000000 AS DOUBLE)) AS BIGINT) AS my",
     )
@@ -108,6 +109,14 @@ def geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points.join(drawn, "distrito_id")
 
 
+def fine_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(distrito_id, centroide) on a finer grid, for the pairwise distances."""
+    return zone_points(spark, sf_dir, FINE_ZONES).select(
+        F.col("zone").alias("distrito_id"),
+        F.struct(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).alias("centroide"),
+    )
+
+
 def section_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(seccion, year, people, income): whole numbers, from a section's orders."""
     return (
