@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corridor.functions.scalars import iso_date
 from corridor.operators.aggregates import by_all_dimensions
 from corridor.operators.loads import create_if_absent, replace_days
-from corridor.schemas import BRONZE_TRIPS
+from corridor.schemas import BRONZE_TRIPS, CALENDAR, RELATION, ZONE_NAMES
+from corridor.sources import delimited, geometry, series
+
+# The columns kept of each reference file.
+DIMENSIONS = {
+    "bronze_distritos_nombres": ZONE_NAMES.fieldNames(),
+    "bronze_gaus_nombres": ZONE_NAMES.fieldNames(),
+    "bronze_municipios_nombres": ZONE_NAMES.fieldNames(),
+    "bronze_relacion_ine": RELATION.fieldNames(),
+}
 
 
 def create_trips(spark: SparkSession, table: str) -> DataFrame:
@@ -17,3 +28,36 @@ def create_trips(spark: SparkSession, table: str) -> DataFrame:
 def load_trips(raw: DataFrame, table: str, days: list[str], lenient: bool = False) -> DataFrame:
     """Replace the given days from landed files, all days in one job."""
     return replace_days(by_all_dimensions(raw, lenient=lenient), table, days)
+
+
+def dimension(spark: SparkSession, table: str, path: str) -> DataFrame:
+    """One of the pipe-delimited reference files."""
+    return delimited.read_dimension(spark, path, DIMENSIONS[table])
+
+
+def calendar(spark: SparkSession, path: str) -> DataFrame:
+    """The comma-delimited holiday file."""
+    texts = delimited.read_dimension(spark, path, CALENDAR.fieldNames(), sep=",")
+    return texts.select(
+        iso_date(F.col("fecha")).alias("fecha"),
+        F.col("es_festivo").cast("int").alias("es_festivo"),
+        F.col("es_fin_de_semana").cast("int").alias("es_fin_de_semana"),
+    )
+
+
+def income(spark: SparkSession, path: str) -> DataFrame:
+    """Net income per person and section."""
+    return series.extract_series(series.read_documents(spark, path), series.INCOME_SERIES)
+
+
+def population(spark: SparkSession, path: str) -> DataFrame:
+    """People of 16 and over per section."""
+    return series.extract_series(series.read_documents(spark, path), series.POPULATION_SERIES)
+
+
+def centroids(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    return geometry.centroids(geometry.read_zone_table(spark, path, fmt))
+
+
+def outlines(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+    return geometry.outlines(geometry.read_zone_table(spark, path, fmt))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -37,19 +39,10 @@ def read_lenient(
     return reader.csv(path)
 
 
-def read_dimension(
-    spark: SparkSession, path: str, header: StructType, columns: list[str], sep: str = "|"
-) -> DataFrame:
-    """A headered reference file, cut to the named columns. ``header`` lists the
-    file's columns in order; codes stay strings, so leading zeros survive."""
-    return (
-        spark.read.schema(header)
-        .option("header", True)
-        .option("sep", sep)
-        .option("enforceSchema", False)
-        .csv(path)
-        .select(*columns)
-    )
+def read_dimension(spark: SparkSession, path: str, columns: list[str], sep: str = "|") -> DataFrame:
+    """A headered reference file, cut to the named columns. Names come from the
+    header, nothing is inferred: codes stay strings and keep leading zeros."""
+    return spark.read.option("header", True).option("sep", sep).csv(path).select(*columns)
 
 
 def delimiters(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
@@ -92,7 +85,5 @@ def read_detected(spark: SparkSession, path: str | list[str], schema: StructType
         read_lenient(spark, files, schema, sep, quote="").withColumn("delimiter", F.lit(sep))
         for sep, files in sorted(by_delimiter.items())
     ]
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    empty = spark.createDataFrame([], schema).withColumn("delimiter", F.lit(None).cast("string"))
+    return reduce(DataFrame.unionByName, parts) if parts else empty

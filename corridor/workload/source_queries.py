@@ -46,7 +46,7 @@ def scan_csv_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "relation")
     codes = RELATION.fieldNames()
     t.relation(spark, sf_dir).withColumn("extra", F.lit("x")).write.option("header", True).option("sep", "|").csv(path)
-    return delimited.read_dimension(spark, path, strings(*codes, "extra"), codes)
+    return delimited.read_dimension(spark, path, codes)
 
 
 @query(

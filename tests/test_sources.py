@@ -86,7 +86,7 @@ def test_files_of_both_delimiters_and_by_pattern(spark, tmp_path):
 
 def test_dimension_file_keeps_zeros_and_cuts_columns(spark, tmp_path):
     path = write(tmp_path / "r.csv", "|".join([*RELATION.fieldNames(), "more"]) + "\n01|02|03|04|05|NA|x\n01|02|03|04|05||x\n")
-    table = delimited.read_dimension(spark, path, strings(*RELATION.fieldNames(), "more"), ["seccion_ine", "gau_mitma"])
+    table = delimited.read_dimension(spark, path, ["seccion_ine", "gau_mitma"])
     assert rows(table) == [("01", None), ("01", "NA")]
 
 
