@@ -104,13 +104,13 @@ def infrastructure_gaps(inputs: DataFrame) -> DataFrame:
     squared = F.pow(metres, F.lit(2.0))
     pulled = inputs.withColumn("gravity_raw", weight / squared)
     factor = aggregates.ratio_of_sums(pulled, "actual_trips", "gravity_raw", "factor").scalar()
-    demand = factor * weight / squared
-    return inputs.select(
+    expected = inputs.withColumn("potential_demand", factor * weight / squared)
+    return expected.select(
         "origin_id",
         "destination_id",
         "actual_trips",
-        demand.alias("potential_demand"),
-        ratio(F.col("actual_trips"), demand).alias("gap_ratio"),
+        "potential_demand",
+        ratio(F.col("actual_trips"), F.col("potential_demand")).alias("gap_ratio"),
     )
 
 

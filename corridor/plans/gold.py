@@ -80,14 +80,15 @@ def infrastructure_gaps(features: DataFrame) -> DataFrame:
     efficiency = ratio(F.col("actual_trips"), F.col("gravity_raw"))
     kept = ranking.percent_rank_band(settled, efficiency, *BAND)
     factor = aggregates.ratio_of_sums(kept, "actual_trips", "gravity_raw", "k_factor").scalar()
-    demand = factor * F.col("gravity_raw")
-    return kept.select(
+    # a column of its own: the factor is then computed once, not per use
+    expected = kept.withColumn("demand", factor * F.col("gravity_raw"))
+    return expected.select(
         "origin_id",
         "destination_id",
         "actual_trips",
         rounded_int(F.col("dist_meters")).alias("distance_meters"),
-        rounded_int(demand).alias("potential_demand"),
-        rounded(ratio(F.col("actual_trips"), demand), 4).alias("gap_ratio"),
+        rounded_int(F.col("demand")).alias("potential_demand"),
+        rounded(ratio(F.col("actual_trips"), F.col("demand")), 4).alias("gap_ratio"),
     )
 
 

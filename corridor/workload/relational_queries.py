@@ -10,6 +10,7 @@ from corridor.operators import aggregates, filters, joins, pairs, ranking, setop
 from corridor.plans import first_generation, gold, silver
 from corridor.schemas import TRIP_FIELDS
 from corridor.session import settle
+from corridor.sources import geometry
 from corridor.workload import tables as t
 from corridor.workload.oracle_tables import statement
 from corridor.workload.registry import query
@@ -30,10 +31,9 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geometries(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) -> DataFrame:
     """Zones under statistical codes, written once."""
-    own = t.geometries(spark, sf_dir)
     found = silver.geometries(
-        own.select("distrito_id", "centroide"),
-        own.select("distrito_id", "geometria"),
+        geometry.centroids(t.centroid_table(spark, sf_dir)),
+        geometry.outlines(t.outline_table(spark, sf_dir)),
         district_map(spark, sf_dir) if mapping is None else mapping,
     )
     return settle(found, "geometries")
@@ -132,9 +132,10 @@ def join_zone_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_od_recode",
     statement(
-        """SELECT date, period, mo.distrito_ine AS origin_id, md.distrito_ine AS destination_id, travels
-           FROM legs JOIN district_map mo ON origin = mo.distrito_mitma
-                     JOIN district_map md ON destination = md.distrito_mitma"""
+        """SELECT date, period, origin_id, destination_id, travels FROM legs
+           JOIN (SELECT distrito_mitma AS origin, distrito_ine AS origin_id FROM district_map) USING (origin)
+           JOIN (SELECT distrito_mitma AS destination, distrito_ine AS destination_id FROM district_map)
+             USING (destination)"""
     ),
 )
 def join_od_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,8 +193,9 @@ def st_within_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 IN_ZONE = """
-    SELECT date, period, t.origin_id, t.destination_id, travels FROM silver_trips t
-    JOIN {zones} o ON t.origin_id = o.distrito_id JOIN {zones} d ON t.destination_id = d.distrito_id"""
+    SELECT date, period, origin_id, destination_id, travels FROM silver_trips
+    JOIN (SELECT distrito_id AS origin_id FROM {zones}) USING (origin_id)
+    JOIN (SELECT distrito_id AS destination_id FROM {zones}) USING (destination_id)"""
 
 
 @query("join_both_ends_in_zone", statement(IN_ZONE.format(zones="zones_inside"), **inside_sql(AREA_EDGES)))
@@ -214,11 +216,10 @@ def join_semi_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STAR = """
-    SELECT t.origin_id, t.destination_id, t.actual_trips, round(d.distance_meters, 4) AS distance_meters,
-        CAST(pop.poblacion AS DOUBLE) AS "P_i", econ.renta_total_euros AS "E_j"
-    FROM od t JOIN distances d ON t.origin_id = d.origin_id AND t.destination_id = d.destination_id
-    JOIN demographics pop ON t.origin_id = pop.distrito_id AND pop.year = 1996
-    JOIN demographics econ ON t.destination_id = econ.distrito_id AND econ.year = 1996"""
+    SELECT origin_id, destination_id, actual_trips, round(distance_meters, 4) AS distance_meters,
+        people AS "P_i", euros AS "E_j"
+    FROM od JOIN distances USING (origin_id, destination_id)
+    JOIN people_1996 USING (origin_id) JOIN euros_1996 USING (destination_id)"""
 
 
 @query("join_gravity_star", statement(STAR))
@@ -367,12 +368,15 @@ def agg_ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(s.rounded(F.col("k_factor"), 6).alias("k_factor"))
 
 
-def _by_type(extra: str) -> str:
-    return f"""SELECT period, CASE WHEN dayofweek(date) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type,
-        SUM(travels) AS total_trips{extra} FROM silver_trips GROUP BY 1, 2 ORDER BY 2, 1"""
+DAY_TYPE = "CASE WHEN isodow({}) > 5 THEN 'Weekend' ELSE 'Weekday' END"
+
+
+def by_type_sql(extra: str) -> str:
+    return f"""SELECT period, {DAY_TYPE.format('date')} AS day_type, SUM(travels) AS total_trips{extra}
+        FROM silver_trips GROUP BY ALL ORDER BY day_type, period"""
 
 
-@query("agg_daytype_period", statement(_by_type("")))
+@query("agg_daytype_period", statement(by_type_sql("")))
 def agg_daytype_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.by_day_type(silver_trips(spark, sf_dir)).orderBy("day_type", "period")
 
@@ -522,7 +526,7 @@ def fn_parse_iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "fn_date_parts",
     """SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS y, CAST(month(o_orderdate) AS INTEGER) AS m,
-         CAST(dayofweek(o_orderdate) AS INTEGER) AS dow, dayofweek(o_orderdate) IN (0, 6) AS weekend FROM orders""",
+         CAST(dayofweek(o_orderdate) AS INTEGER) AS dow, isodow(o_orderdate) > 5 AS weekend FROM orders""",
 )
 def fn_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
@@ -654,7 +658,7 @@ def fn_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "fn_case_label",
-    "SELECT o_orderkey, CASE WHEN dayofweek(o_orderdate) IN (0, 6) THEN 'Weekend' ELSE 'Weekday' END AS day_type FROM orders",
+    f"SELECT o_orderkey, {DAY_TYPE.format('o_orderdate')} AS day_type FROM orders",
 )
 def fn_case_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.load(spark, sf_dir, "orders").select(

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corridor.functions import wkt
 from corridor.schemas import TRIP_FIELDS
+from corridor.sources import geometry
 
 ZONES = 500
 FINE_ZONES = 2000
@@ -102,11 +102,8 @@ def outline_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geometries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones as (distrito_id, centroide, geometria) under their own codes."""
-    points = centroid_table(spark, sf_dir).select(
-        F.col("ID").alias("distrito_id"), wkt.point(F.col("geom")).alias("centroide")
-    )
-    drawn = outline_table(spark, sf_dir).select(F.col("ID").alias("distrito_id"), F.col("geom").alias("geometria"))
-    return points.join(drawn, "distrito_id")
+    points = geometry.centroids(centroid_table(spark, sf_dir))
+    return points.join(geometry.outlines(outline_table(spark, sf_dir)), "distrito_id")
 
 
 def fine_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
