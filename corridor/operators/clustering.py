@@ -75,8 +75,8 @@ def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     columns = ["point", "label", "other", "distance", "members"]
     if left.empty or right.empty:
         return pd.DataFrame(columns=columns)
-    a, b = np.stack(left["v"].to_numpy()), np.stack(right["v"].to_numpy())
-    labels, place = np.unique(right["label"].to_numpy(), return_inverse=True)
+    a, b = np.stack(left["v"].to_numpy()), np.stack(right["w"].to_numpy())
+    labels, place = np.unique(right["other"].to_numpy(), return_inverse=True)
     member = np.eye(len(labels))[place]
     rows = max(1, 2_000_000 // b.size)
     sums = [
@@ -113,11 +113,12 @@ def silhouette_samples(
     )
     tasks = min(blocks * blocks, MOST_TASKS)
     left = keyed.withColumn("partner", F.explode(every)).repartition(tasks, "block", "partner")
-    right = (
-        keyed.withColumnRenamed("block", "partner")
-        .withColumn("block", F.explode(every))
-        .repartition(tasks, "block", "partner")
-    )
+    right = keyed.select(
+        F.explode(every).alias("block"),
+        F.col("block").alias("partner"),
+        F.col("label").alias("other"),
+        F.col("v").alias("w"),
+    ).repartition(tasks, "block", "partner")
     kind = points.schema[point].dataType.simpleString()
     sums = left.groupBy("block", "partner").cogroup(right.groupBy("block", "partner")).applyInPandas(
         _block_sums, f"point {kind}, label int, other int, distance double, members bigint"
