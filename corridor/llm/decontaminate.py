@@ -223,6 +223,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_i
     )
 
 
+def clean_rows(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows that are not contaminated, with all columns.
+
+    Decisions are by id and text, so of rows that share an id each is judged by its own text. Only
+    keys of contaminated rows are joined; Spark broadcasts them if their stored table is small.
+    """
+    key = F.xxhash64(id_column, text_column)
+    judged = contamination(docs.select(key.alias("row_key"), text_column), benchmark, "row_key", text_column)
+    bad = settle(judged.filter("contaminated").select(F.col("doc_id").alias("row_key")).distinct(), "contaminated")
+    return docs.join(bad, key == F.col("row_key"), "left_anti")
+
+
 def find_near(index: DataFrame, items: DataFrame, within: int, id_column: str = "item_id", text_column: str = "text",
               most: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, position of the item's rarest word wherever all its words stand within ``within`` words of it."""

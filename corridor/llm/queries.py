@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corridor.llm import content_sort, decontaminate, language, packing, prefix_counts, token_shards, toxicity
+from corridor.llm import (
+    content_sort,
+    decontaminate,
+    jaccard_join,
+    kneser_ney,
+    language,
+    main_text,
+    packing,
+    prefix_counts,
+    token_shards,
+    toxicity,
+)
 from corridor.session import settle
 from corridor.workload.registry import query
 
@@ -57,6 +68,24 @@ def language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
 
 
+@query("op4_kneser_ney_quality")
+def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    model = kneser_ney.train(kneser_ney.trusted_rows(docs, table(spark, sf_dir, "labels")))
+    scored = settle(kneser_ney.score(docs, model), "perplexities")
+    with_lang = settle(scored.join(docs.select("doc_id", "lang").distinct(), "doc_id"), "with_lang")
+    limits = settle(kneser_ney.thresholds(with_lang.join(good, "doc_id", "left_semi")), "limits")
+    # One row for each language with enough trusted texts, and one for the rest.
+    general = limits.filter("lang IS NULL").first()["threshold"]
+    judged = with_lang.join(limits.filter("lang IS NOT NULL"), "lang", "left")
+    limit = F.coalesce("threshold", F.lit(general).cast("double"))
+    return judged.select(
+        "doc_id", "lang", "n_chars", "log_prob", "perplexity", limit.alias("threshold"),
+        F.coalesce(F.col("perplexity") <= limit, F.lit(False)).alias("kept"),
+    )
+
+
 @query("op5_seekable_token_shards")
 def seekable_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_shards.shard_folder(spark)
@@ -65,6 +94,11 @@ def seekable_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read_shards(manifest, folder, with_ids=False)
 
 
+@query("op6_main_text")
+def extracted_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query(
     "op7_content_sort_dedup",
     """
@@ -94,6 +128,12 @@ def histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1))
 
 
+@query("op9_chosen_path_jaccard")
+def chosen_path_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = jaccard_join.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "class_id", "set_id", "n_links", "n_shingles")
+
+
 def _window_words(name: str, key: str) -> str:
     return f"""SELECT {key}, row_number() OVER () AS row_no,
         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
