@@ -39,7 +39,7 @@ SKETCH = 64
 CHILDREN = 2
 DEPTH = 3
 SMALL = 96
-BLOCK = 512
+BLOCK = 256
 #: Sketches must agree this far below the threshold to be ruled out (over four standard errors).
 DOUBT = 0.2
 
@@ -312,7 +312,8 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     wanted = settle(wanted, "wanted")
     same = rows["doc_id"].eqNullSafe(wanted["doc_id"]) & (rows["text_hash"] == wanted["text_hash"])
-    sets = rows.join(wanted, same).select("class", "text").mapInArrow(_sets, "class bigint, payload binary")
+    # Both sides are dealt by id and text at every size; only the keys are held in memory.
+    sets = rows.join(wanted.hint("shuffle_hash"), same).select("class", "text").mapInArrow(_sets, "class bigint, payload binary")
     compared = _in_nodes(likely.join(settle(sets, "sets"), "class")).mapInArrow(
         _by_node(_linked(similar), [("class", pa.int64()), ("links", pa.int64()), ("joined", pa.int64())]),
         "class bigint, links bigint, joined bigint",
