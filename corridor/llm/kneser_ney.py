@@ -98,7 +98,7 @@ def train(trusted: DataFrame, text_column: str = "text", order: int = ORDER) ->
         shorter = levels[n + 1].groupBy(F.col("g").bitwiseAND(mask(n)).alias("g")).agg(F.count("*").alias("c"))
         levels[n] = settle(shorter, "grams")
     letters = levels[1].count() + 1
-    lower = trusted.sparkSession.range(1).select(F.lit(0).cast("long").alias("g"), F.lit(1.0 / letters).alias("p"))
+    lower = settle(trusted.sparkSession.range(1).select(F.col("id").alias("g"), F.lit(1.0 / letters).alias("p")), "uniform")
     model = None
     for n in range(1, order + 1):
         d1, d2, d3 = discounts(levels[n])
