@@ -106,10 +106,12 @@ def train(trusted: DataFrame, text_column: str = "text", order: int = ORDER) ->
         context = F.shiftright("g", BITS)
         contexts = levels[n].groupBy(context.alias("context")).agg(F.sum("c").alias("total"), (F.sum(cut) / F.sum("c")).alias("weight"))
         contexts = settle(contexts, "contexts")
-        # The lower order is complete now that its weights for backing off are known.
-        known = lower.join(contexts.select(F.col("context").alias("g"), "weight"), "g", "left").select(
-            F.col("g").bitwiseOR(F.lit((n - 1) << TAG)).alias("key"), "p", F.coalesce("weight", F.lit(1.0)).alias("weight")
-        )
+        # The lower order is complete now that its weights for backing off are known. What stands before
+        # a text is a context and never an n-gram of its own: it has a weight and no probability (0).
+        known = lower.join(contexts.select(F.col("context").alias("g"), "weight"), "g", "full").select(
+            F.col("g").bitwiseOR(F.lit((n - 1) << TAG)).alias("key"),
+            F.coalesce("p", F.lit(0.0)).alias("p"), F.coalesce("weight", F.lit(1.0)).alias("weight"),
+        )
         model = known if model is None else model.union(known)
         rows = levels[n].select("g", "c", context.alias("context"), F.col("g").bitwiseAND(mask(n - 1)).alias("suffix"))
         joined = rows.join(contexts, "context").join(lower.select(F.col("g").alias("suffix"), F.col("p").alias("below")), "suffix")
@@ -139,6 +141,7 @@ def log_probability(grams: np.ndarray, keys: np.ndarray, p: np.ndarray, weight:
     total = 0.0
     for n in range(order, -1, -1):
         place, known = at((grams & mask(n)) | (n << TAG))
+        known &= p[place] > 0
         total += float(np.log(p[place[known]]).sum())
         grams = grams[~known]
         if n and len(grams):

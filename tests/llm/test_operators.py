@@ -1,0 +1,428 @@
+"""Each operator against a brute-force version on rows with nulls, empty and long texts, ties and repeats."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from corridor.llm import (
+    content_sort,
+    decontaminate,
+    jaccard_join,
+    kneser_ney,
+    language,
+    main_text,
+    packing,
+    prefix_counts,
+    token_shards,
+    toxicity,
+)
+
+WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
+
+#: Columns whose names clash with the operators' own.
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, start int, row string, kept string, score string"
+
+
+def table(spark, rows):
+    """(doc_id, text, lang) as documents with extra columns."""
+    full = [(i, t, g, "s", len(t or ""), 1, "r", "k", "x") for i, t, g in rows]
+    return spark.createDataFrame(full, SCHEMA).repartition(3)
+
+
+def prose(seed: int, n: int, stems: str = "ab") -> str:
+    pick = random.Random(seed)
+    return " ".join(pick.choice(stems) + "".join(pick.choice("elorintas") for _ in range(pick.randint(1, 6))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    base = prose(1, 60)
+    return [
+        (1, base, "en"), (2, base, "en"), (2, base, "en"), (3, base.replace(" ", "  ") + "\n", None), (4, None, "en"), (5, "", "en"),
+        (6, " \t\n", None), (None, "Only one. <|endoftext|> Don't, İstanbul ΟΔΟΣ", "en"), (8, prose(2, 9000), "en"),
+        (9, "a b c", "fr"), (10, "a b c", "fr"), (11, "日本語 テスト 🎉🎉", None), (12, prose(3, 60) + " " + base, "en"), (12, "x", "en"),
+    ]
+
+
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def test_prefix_counts_at_every_prefix(spark, odd_rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_FILE)
+    got = prefix_counts.prefix_counts(table(spark, odd_rows), PIECE_FILE).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_tokens) for r in got) == sorted(
+        (i or 0, len((t or "").encode()), len(library.encode(t or ""))) for i, t, _ in odd_rows
+    )
+    model = prefix_counts.PrefixModel(PIECE_FILE)
+    for _, text, _ in odd_rows:
+        text = (text or "")[:150]
+        counts = np.cumsum(np.frombuffer(model.text_steps(text), np.int8), dtype=int)
+        assert counts.tolist() == [len(library.encode(text[:k])) for k in range(1, len(text) + 1)]
+    assert prefix_counts.prefix_counts(empty(spark), PIECE_FILE).count() == 0
+
+
+def test_prefix_questions(spark):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECE_FILE)
+    text = prose(4, 30)
+    counted = prefix_counts.prefix_counts(table(spark, [(1, text, None)]), PIECE_FILE)
+    got = counted.selectExpr("steps", "20L AS chars", "15L AS budget").select(
+        prefix_counts.tokens_at("steps", "chars").alias("n"), prefix_counts.longest_prefix("steps", "budget").alias("k")
+    )
+    row = got.first()
+    assert row.n == len(library.encode(text[:20]))
+    assert row.k == max(k for k in range(len(text) + 1) if len(library.encode(text[:k])) <= 15)
+
+
+def test_shards_round_trip(spark, odd_rows):
+    library = Tokenizer.from_file(WORD_FILE)
+    folder = token_shards.shard_folder(spark)
+    manifest = token_shards.write_shards(table(spark, odd_rows), folder, WORD_FILE, end_id=2)
+    got = token_shards.read_shards(manifest, folder).orderBy("start").collect()
+    ids = lambda t: [*library.encode(t or "", add_special_tokens=False).ids, 2]
+    assert [r.doc_id or 0 for r in got] == sorted(i or 0 for i, _, _ in odd_rows)
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == Counter((i, tuple(ids(t))) for i, t, _ in odd_rows)
+    at = 0
+    for r in got:
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes()))
+        at += r.n_tokens
+    some = token_shards.read_shards(manifest, folder, wanted={8, 9}).collect()
+    assert Counter((r.doc_id, r.start) for r in some) == Counter((r.doc_id, r.start) for r in got if r.doc_id in (8, 9))
+    nothing = token_shards.shard_folder(spark)
+    assert token_shards.read_shards(token_shards.write_shards(empty(spark), nothing, WORD_FILE, 2), nothing).count() == 0
+
+
+def test_damaged_frames_are_noticed(tmp_path):
+    import pyarrow.fs
+
+    path = str(tmp_path / "one.zst")
+    store = pyarrow.fs.LocalFileSystem()
+    with store.open_output_stream(path, compression=None) as out:
+        writer = token_shards.ShardWriter(out, frame_bytes=64)
+        for k in range(20):
+            writer.add(k, np.arange(k, dtype="<u4").tobytes())
+        writer.close()
+    with store.open_input_file(path) as file:
+        shard = token_shards.ShardReader(file)
+        assert [np.frombuffer(shard.document(k), "<u4").tolist() for k in range(20)] == [list(range(k)) for k in range(20)]
+    data = bytearray(open(path, "rb").read())
+    data[int(shard.offsets[2]) + 12] ^= 255
+    open(path, "wb").write(data)
+    with store.open_input_file(path) as file:
+        shard = token_shards.ShardReader(file)
+        shard.frame(0)
+        with pytest.raises(Exception):  # noqa: B017  the library's or the seek table's checksum
+            shard.frame(2)
+
+
+def test_packing(spark, odd_rows):
+    library = Tokenizer.from_file(WORD_FILE)
+    pieces = packing.cut_pieces(table(spark, odd_rows), WORD_FILE, end_id=1, keep_ids=True)
+    packed = packing.pack(pieces)
+    got = packed.collect()
+    want = Counter()
+    for i, t, _ in odd_rows:
+        ids = [*library.encode(t or "", add_special_tokens=False).ids, 1]
+        want.update((i, k // 4096, k, tuple(ids[k : k + 4096])) for k in range(0, len(ids), 4096))
+    assert Counter((r.doc_id, r.piece, r.start, tuple(r.ids)) for r in got) == want
+    rows = defaultdict(list)
+    for r in got:
+        rows[r.sequence_id].append((r.offset, r.length))
+    for placed in rows.values():
+        ends = [0, *itertools.accumulate(n for _, n in sorted(placed))]
+        assert [o for o, _ in sorted(placed)] == ends[:-1] and ends[-1] <= 4096
+    whole = {r.sequence_id: len(r.ids) for r in packing.sequences(packed).collect()}
+    assert whole == {k: sum(n for _, n in v) for k, v in rows.items()}
+    assert packing.pack(packing.cut_pieces(empty(spark), WORD_FILE, 1)).count() == 0
+
+
+def test_plan_equals_best_fit_decreasing_on_pieces():
+    pick = random.Random(5)
+    for _ in range(20):
+        lengths = [pick.randint(1, 50) for _ in range(300)]
+        slots = packing.plan(dict(Counter(lengths)), 50)
+        free: list[int] = []
+        for n in sorted(lengths, reverse=True):
+            fits = [k for k, room in enumerate(free) if room >= n]
+            if fits:
+                free[min(fits, key=lambda k: free[k])] -= n
+            else:
+                free.append(50 - n)
+        used = defaultdict(int)
+        for length, first, end, sequence, per, _ in slots:
+            for r in range(first, end):
+                used[sequence + (r - first) // per] += length
+        assert len(used) == len(free) and max(used.values()) <= 50
+        assert sum(e - f for _, f, e, *_ in slots) == len(lengths)
+
+
+def test_content_sort(spark, odd_rows):
+    plain = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    groups = defaultdict(list)
+    for i, t, _ in odd_rows:
+        groups[plain(t)].append((-len(t or ""), i is None, i))
+    got = content_sort.exact_groups(table(spark, odd_rows)).collect()
+    want = Counter()
+    for i, t, _ in odd_rows:
+        best = min(groups[plain(t)])
+        want[i, best[2], len(groups[plain(t)]), hashlib.sha256(plain(t).encode()).hexdigest()] += 1
+    assert Counter((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == want
+    assert sum(r.kept for r in got) == len(groups) and all(r.doc_id == r.keep_id for r in got if r.kept)
+    kept = content_sort.distinct_content(table(spark, odd_rows))
+    assert kept.schema.names == empty(spark).schema.names and kept.count() == len(groups)
+    assert content_sort.exact_groups(empty(spark)).count() == 0
+
+
+def test_a_group_over_many_ranges(spark):
+    rows = [(k, "same text", None) for k in range(3000)] + [(5000 + k, prose(k, 8), None) for k in range(200)]
+    got = content_sort.exact_groups(table(spark, rows)).collect()
+    same = [r for r in got if r.doc_id < 5000]
+    assert {(r.keep_id, r.group_size) for r in same} == {(0, 3000)} and [r.doc_id for r in same if r.kept] == [0]
+
+
+def _sets(rows):
+    found = {}
+    for k, (_, text, _) in enumerate(rows):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        found[k] = frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else None
+    return found
+
+
+def test_jaccard_join(spark, odd_rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    rows = list(odd_rows)
+    for g in range(6):
+        words = prose(100 + g, 90).split()
+        for c in range(14):
+            changed = list(words)
+            changed[random.Random(f"{g} {c}").randrange(90)] = f"new{c}"
+            rows.append((1000 + 100 * g + c, " ".join(changed), "en"))
+    sets = _sets(rows)
+    different = list({s for s in sets.values() if s})
+    links, near = Counter(), {s: {s} for s in different}
+    for a, b in itertools.combinations(different, 2):
+        if len(a & b) >= 0.8 * len(a | b):
+            links[a] += 1
+            links[b] += 1
+            near[a].add(b)
+            near[b].add(a)
+
+    def group(s):
+        seen, waiting = {s}, [s]
+        while waiting:
+            fresh = near[waiting.pop()] - seen
+            seen |= fresh
+            waiting += fresh
+        return seen
+
+    ids = defaultdict(list)
+    for k, s in sets.items():
+        ids[s].append(rows[k][0])
+    got = jaccard_join.near_groups(table(spark, rows))
+    want = Counter()
+    for k, s in sets.items():
+        if s is None:
+            want[rows[k][0], rows[k][0], 0] += 1
+        else:
+            every = [i for x in group(s) for i in ids[x] if i is not None]
+            want[rows[k][0], min(every, default=None), links[s]] += 1
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got.collect()) == want
+    kept = jaccard_join.without_near_copies(table(spark, rows))
+    groups = {frozenset(group(s)) for s in different}
+    assert len({(r.doc_id, r.text) for r in kept.collect()}) == len(groups) + len({(rows[k][0], rows[k][1]) for k, s in sets.items() if s is None})
+    assert jaccard_join.near_groups(empty(spark)).count() == 0
+
+
+def test_runs_reach_the_recall():
+    assert jaccard_join.missed() ** jaccard_join.runs_needed() <= 1 - jaccard_join.RECALL
+
+
+def test_components_of_chains(spark):
+    edges = [(k + 1, k) for k in range(0, 40)] + [(100 + k, 100) for k in range(1, 30)] + [(7, 7)]
+    got = jaccard_join.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert {(r.node, r.root) for r in got} == {(k, 0) for k in range(41)} | {(100 + k, 100) for k in range(30)}
+
+
+def test_decontamination(spark, odd_rows):
+    passage = prose(50, 20)
+    items = [(1, passage), (2, prose(51, 5)), (3, None), (4, "..."), (5, prose(52, 40)), (5, prose(53, 14)), (None, prose(54, 6))]
+    rows = [*odd_rows, (20, f"Start, {passage.upper()}! end", "en"), (21, prose(60, 3000) + " " + passage, "en"),
+            (22, " ".join(passage.split()[:13]), "en"), (23, " ".join(passage.split()[:12]), "en"), (24, prose(51, 5) + " " + prose(51, 5), "en"),
+            (25, prose(54, 6), None)]
+    find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    want = Counter()
+    for i, text, _ in rows:
+        w, hit, met = find(text), set(), set()
+        for item, asked in items:
+            a = find(asked)
+            size = min(13, len(a))
+            for k in range(len(a) - size + 1 if a else 0):
+                for j in range(len(w) - size + 1):
+                    if w[j : j + size] == a[k : k + size]:
+                        hit |= set(range(j, j + size))
+                        met.add("" if item is None else str(item))
+        want[i, len(w), len(hit), ",".join(sorted(met)), bool(hit) and 20 * len(hit) >= len(w)] += 1
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontaminate.contamination(table(spark, rows), benchmark)
+    assert Counter((r.doc_id, r.n_words, r.n_hit, ",".join(r["items"]), r.contaminated) for r in got.collect()) == want
+    blocks = decontaminate.find_phrases(decontaminate.build_index(table(spark, rows)), benchmark, most=60)
+    again = Counter((r.doc_id, ",".join(r["items"])) for r in blocks.collect())
+    assert again == Counter({(k[0], k[3]): 0 for k in want} | Counter((k[0], k[3]) for k in want.elements()))
+    kept = decontaminate.clean_rows(table(spark, rows), benchmark)
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(k[0] for k in want.elements() if not k[4])
+    assert decontaminate.contamination(empty(spark), benchmark).count() == 0
+    assert decontaminate.contamination(table(spark, rows), benchmark.limit(0)).filter("n_hit > 0").count() == 0
+
+
+def test_near_words(spark):
+    rows = [(1, "alpha one two beta", None), (2, "alpha one two three four five beta", None), (3, "beta alpha", None), (4, None, None)]
+    items = spark.createDataFrame([(7, "alpha beta")], "item_id bigint, text string")
+    got = decontaminate.find_near(decontaminate.build_index(table(spark, rows)), items, within=3)
+    assert {r.doc_id for r in got.collect()} == {1, 3}
+
+
+def test_language(spark):
+    rows = [(k, prose(k, 40, "ab"), "aa") for k in range(60)] + [(100 + k, prose(k, 40, "xyz").replace("a", "ü"), "bb") for k in range(60)]
+    held = [(900, prose(7000, 30, "ab"), None), (901, prose(7001, 30, "xyz").replace("a", "ü"), None), (902, None, "aa"), (903, "12 ?", "bb"), (904, "", None)]
+    docs = table(spark, rows + held)
+    model = language.learn(docs)
+    got = {r.doc_id: r for r in language.identify(docs, model).collect()}
+    assert [got[i].lang_pred for i in (900, 901, 902, 903, 904)] == ["aa", "bb", "und", "und", "und"]
+    assert all(got[i].lang_pred == g and 0 < got[i].score <= 1 and not got[i].rejected for i, _, g in rows)
+    assert all(got[i].score == 0 and got[i].rejected for i in (902, 903, 904))
+    nothing = language.learn(empty(spark))
+    assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_toxicity_on_held_out_rows(spark):
+    pick = random.Random(3)
+    rows, labels = [], []
+    for k in range(400):
+        words = prose(3000 + k, pick.randint(5, 120)).split()
+        toxic = k % 4 == 0
+        for _ in range(2 * toxic):
+            words.insert(pick.randint(0, len(words)), pick.choice(["vileone", "viletwo", "wretch"]))
+        rows.append((k, " ".join(words), "en"))
+        labels.append((k, int(toxic)))
+    model = toxicity.fit([t for _, t, _ in rows[:300]], [y for _, y in labels[:300]])
+    extra = [(1000, None, "en"), (1001, "", None), (1002, "12", "en"), (1003, "", None)]
+    got = {r.doc_id: r.score for r in toxicity.score(table(spark, rows + extra), model).collect()}
+    assert np.mean([(got[k] >= 0.5) == bool(y) for k, y in labels[300:]]) > 0.95
+    assert got[1000] == got[1001] == got[1002] < 0.5
+    labelled = spark.createDataFrame(labels + [(None, 1), (5000, None)], "doc_id bigint, toxic int")
+    texts, known = toxicity.labelled_sample(table(spark, rows), labelled, most_rows=40)
+    assert Counter(known) == {0: 40, 1: 40}
+    scored = toxicity.score(table(spark, rows), model, carry=("lang",)).join(labelled, "doc_id")
+    assert {r.lang for r in toxicity.thresholds(scored).collect()} == {None, "en"}
+    flat = toxicity.fit(["a", "b"], [0, 0])
+    assert flat.scores(["a", ""]).max() < 1e-9 and toxicity.fit([], []).scores(["a"])[0] < 1e-9
+
+
+def _brute_model(texts, order):
+    """Interpolated modified Kneser-Ney straight from the definition, over tuples."""
+    raw = Counter()
+    for t in texts:
+        padded = [0] * (order - 1) + [max(1, ord(c)) for c in t]
+        raw.update(tuple(padded[k : k + order]) for k in range(len(t)))
+    counts = {order: raw}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    letters = len(counts[1]) + 1
+
+    def cut(n, c):
+        k = [sum(v == x for v in counts[n].values()) for x in (1, 2, 3, 4)]
+        if not k[0] or not k[1]:
+            return [0.5, 0.75, 0.9][min(c, 3) - 1]
+        y = k[0] / (k[0] + 2 * k[1])
+        d = [x - (x + 1) * y * k[x] / k[x - 1] if k[x - 1] else x / 2 for x in (1, 2, 3)]
+        return min(max(d[min(c, 3) - 1], 0.05), min(c, 3) - 0.05)
+
+    cuts = {n: {c: cut(n, c) for c in (1, 2, 3)} for n in counts}
+    by_context = {n: defaultdict(dict) for n in counts}
+    for n, found in counts.items():
+        for g, c in found.items():
+            by_context[n][g[:-1]][g[-1]] = c
+
+    def p(n, g):
+        if n == 0:
+            return 1 / letters
+        seen = by_context[n].get(g[:-1])
+        below = p(n - 1, g[1:])
+        if not seen:
+            return below
+        total = sum(seen.values())
+        weight = sum(cuts[n][min(c, 3)] for c in seen.values()) / total
+        own = seen.get(g[-1], 0)
+        return (own - cuts[n][min(own, 3)]) / total + weight * below if own else weight * below
+
+    return p
+
+
+def test_kneser_ney(spark, tmp_path):
+    texts = [prose(k, 30) for k in range(12)]
+    rows = [(k, t, "en") for k, t in enumerate(texts)]
+    others = [(50, "qqq zzz!", "en"), (51, None, None), (52, "", "en"), (53, prose(99, 20), "fr"), (53, prose(98, 5), "fr"), (54, "日本", "en")]
+    trusted = table(spark, rows)
+    model = kneser_ney.train(trusted)
+    path = str(tmp_path / "docs.parquet")
+    table(spark, rows + others).write.parquet(path)
+    got = Counter((r.doc_id, r.n_chars, None if r.perplexity is None else round(r.perplexity, 6)) for r in kneser_ney.score(spark.read.parquet(path), model).collect())
+    order, p = kneser_ney.ORDER, _brute_model(texts, kneser_ney.ORDER)
+    want = Counter()
+    for i, t, _ in rows + others:
+        codes = [0] * (order - 1) + [ord(c) if ord(c) < 0xF00 else 0xF00 + ord(c) % 0xFF for c in t or ""]
+        total = sum(np.log(p(order, tuple(codes[k : k + order]))) for k in range(len(t or "")))
+        want[i, len(t or ""), round(float(np.exp(-total / len(t))), 6) if t else None] += 1
+    assert got == want
+    labels = spark.createDataFrame([(0, 1), (1, 1), (1, 1), (2, 0), (None, 1)], "doc_id bigint, quality int")
+    assert {r.doc_id for r in kneser_ney.trusted_rows(trusted, labels).collect()} == {0, 1}
+    untaught = kneser_ney.train(empty(spark))
+    assert kneser_ney.score(trusted, untaught).filter("perplexity IS NULL").count() == 0
+    assert kneser_ney.score(empty(spark), model).count() == 0
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
+<header><p>Site name, a long slogan that reads like text, really.</p></header><nav><ul><li><a href=/a>Home</a></li></ul></nav>
+<div class="cookie-notice"><p>We use cookies, as you know, and so on, for a better site.</p></div>
+%s
+<aside><p>Read more, much more, of our other pages here, today.</p></aside><form><p>Your mail, please, for our letters.</p></form>
+<section id="comments"><article class="comment"><p>First, I must say, this is a long comment, longer than the article.</p></article></section>
+<footer>&copy; 2024, all of it, ours.</footer>"""
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        ("<article><h1>Head</h1><p><b>One &amp; two,<br>three.<p>Four\n  five.</p><div class=ad>Buy, buy, buy now.</div><p>x</p></article>",
+         "Head\n\nOne & two, three.\n\nFour five.\n\nx"),
+        ("<div class=content><h2>Head</h2><div class=body><p>A first paragraph, of some length, to be kept whole.</p><p>Short.</p>"
+         "<blockquote>Quoted, as it is.</blockquote></div></div>",
+         "Head\n\nA first paragraph, of some length, to be kept whole.\n\nShort.\n\nQuoted, as it is."),
+        ("<main><p>Text, in main.<ul><li>one<li>two</ul><!-- no --></main>", "Text, in main.\n\none\n\ntwo"),
+    ],
+)
+def test_main_text(body, text):
+    assert main_text.main_text(PAGE % body) == text
+
+
+def test_pages(spark):
+    rows = [(1, "u", None, "x"), (2, "u", "", "x"), (3, None, "<p>" * 3000 + "deep", "x"), (3, None, "<div>" * 3000 + "deep, text", "x"), (4, "u", "no <markup", "x"), (5, "u", "<!-- open", "x")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    got = Counter((r.page_id, r.url, r.text, r.n_chars) for r in main_text.extract(pages).collect())
+    assert got == Counter(
+        [(1, "u", "", 0), (2, "u", "", 0), (3, None, "deep", 4), (3, None, "deep, text", 10), (4, "u", "no <markup", 10), (5, "u", "", 0)]
+    )
+    assert main_text.extract(pages.limit(0)).count() == 0
