@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from corridor.llm.text import text_groups
 
 #: Parts and token pairs a worker keeps; emptied beyond that, which changes no count.
-MOST_KEPT = 500_000
-MOST_PAIRS = 1_000_000
+MOST_KEPT = 300_000
+MOST_PAIRS = 400_000
 #: Longer parts (unbroken junk) are computed and not kept.
 LONG_PART = 64
 NEVER = float("-inf")
