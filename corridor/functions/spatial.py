@@ -71,14 +71,14 @@ def _vincenty(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.nda
             lam = longer
             if not np.nanmax(moved, initial=0.0) > 1e-13:
                 break
-        else:
-            raise ValueError("two points are too close to antipodal for the ellipsoid series")
+    # nearly antipodal points do not settle: they have no distance, the others keep theirs
+    unsettled = moved > 1e-13
     usq = cos2_alpha * (a * a - b * b) / (b * b)
     big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
     big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
     cubic = cos_2m / 6 * big_b * (4 * s**2 - 3) * (4 * cos_2m**2 - 3)
     bend = big_b * s * (cos_2m + big_b / 4 * (c * (2 * cos_2m**2 - 1) - cubic))
-    return b * big_a * (sigma - bend)
+    return np.where(unsettled, np.nan, b * big_a * (sigma - bend))
 
 
 @F.pandas_udf(DoubleType())

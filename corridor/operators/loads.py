@@ -10,12 +10,45 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.operators.setops import except_distinct
+from corridor.session import settle
 
 
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Create the table from ``df``, replacing one that exists."""
-    _writer(df, partition_by).mode("overwrite").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Create the table from ``df``, replacing one that exists.
+
+    The new rows are written beside the old table first: if that fails, the old table stays.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        _writer(df, partition_by).saveAsTable(table)
+        return spark.table(table)
+    return _publish(df, table, partition_by)
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    """The columns a table is partitioned by, in order."""
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+
+
+def _publish(df: DataFrame, table: str, partition_by: list[str] | None) -> DataFrame:
+    """Compute ``df`` in full beside the table, then let it take the table's place."""
+    spark = df.sparkSession
+    if partition_by:
+        # Catalogs may go on naming partition folders from before a renaming, so a partitioned
+        # table is copied from its stored rows instead; only that copy can still fail.
+        _writer(settle(df, "published"), partition_by).mode("overwrite").saveAsTable(table)
+        return spark.table(table)
+    mark = uuid4().hex
+    new, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
+    _writer(df, None).saveAsTable(new)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    except Exception:
+        spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {old}")
+    return spark.table(table)
 
 
 def create_if_absent(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -33,15 +66,8 @@ def _writer(df: DataFrame, partition_by: list[str] | None):
 
 
 def swap_table(df: DataFrame, table: str) -> DataFrame:
-    """Replace a table by a result that reads that same table."""
-    spark = df.sparkSession
-    mark = uuid4().hex
-    new, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
-    df.write.format("parquet").saveAsTable(new)
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
-    return spark.table(table)
+    """Replace a table by a result that reads that same table; its partitioning stays."""
+    return _publish(df, table, partition_columns(df.sparkSession, table))
 
 
 def empty_like(df: DataFrame) -> DataFrame:
@@ -64,17 +90,22 @@ def append_by_name(df: DataFrame, table: str) -> DataFrame:
 
 
 def replace_days(df: DataFrame, table: str, days: Iterable[object], column: str = "date") -> DataFrame:
-    """Replace the given days of a table partitioned by ``column``.
+    """Replace the given days of a table.
 
-    One job rewrites the partitions of every day that has rows and notes which
-    days those were. A requested day without rows ends up empty too: its
-    partition is dropped. The table must have been created here with
-    ``partition_by=[column]``.
+    In a table partitioned by ``column`` alone, one job rewrites the partitions of every day that
+    has rows, clustered so that a day is a few files, and notes which days those were. A requested
+    day without rows ends up empty too: its partition is dropped. Any other table is written anew
+    with its other days kept.
     """
     spark = df.sparkSession
     wanted = sorted({str(day) for day in days})
     target = spark.table(table)
-    rows = df.filter(F.col(column).isin([F.lit(day).cast("date") for day in wanted])).select(*target.columns)
+    asked = F.col(column).isin([F.lit(day).cast("date") for day in wanted])
+    rows = df.filter(asked).select(*target.columns)
+    if partition_columns(spark, table) != [column]:
+        others = target.filter(~F.coalesce(asked, F.lit(False)))
+        return swap_table(others.unionByName(rows), table)
+    rows = clustered(rows, column, *(c for c in rows.columns if c != column))
     seen = Observation()
     # a set of at most as many days as were asked for
     rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days")).write.mode("overwrite").insertInto(table)
@@ -105,17 +136,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
         F.count("*").alias("_matches"), *(F.any_value(name).alias(f"_new_{name}") for name in values)
     )
     hit = F.col("s._matches").isNotNull()
-    twice = F.raise_error(F.lit(f"two source rows match one target row on {keys}"))
+    twice = F.raise_error(F.lit(f"two source rows match one target row on {keys}")).cast("boolean")
+    # a filter of its own: no choice of columns, nor a count, leaves it out
+    once = F.when(F.col("s._matches") > 1, twice).otherwise(F.lit(True))
 
     def fresh(name: str) -> Column:
-        failed = F.when(F.col("s._matches") > 1, twice.cast(target.schema[name].dataType))
-        return failed.when(hit, F.col(f"s._new_{name}")).otherwise(F.col(f"t.{name}")).alias(name)
+        return F.when(hit, F.col(f"s._new_{name}")).otherwise(F.col(f"t.{name}")).alias(name)
 
     # rows with a NULL key cannot match: they pass around the join and its shuffle
     matchable = target if null_safe else target.filter(_no_null(keys))
     updated = (
         matchable.alias("t")
         .join(per_key.alias("s"), _same("t", "s", keys, null_safe), "left")
+        .filter(once)
         .select(*(F.col(f"t.{name}") if name in keys else fresh(name) for name in target.columns))
     )
     candidates = source if null_safe else source.filter(_no_null(keys))
@@ -129,6 +162,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str], null_safe: boo
     return merged
 
 
+def upsert_into(table: str, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
+    """Merge ``source`` into the table.
+
+    If the table is partitioned by one of the keys, only the partitions the source has rows for
+    are read, merged and rewritten; else the merged table takes the old one's place.
+    """
+    spark = source.sparkSession
+    target = spark.table(table)
+    parts = partition_columns(spark, table)
+    if len(parts) != 1 or parts[0] not in keys:
+        return swap_table(upsert(target, source, keys, null_safe), table)
+    # as many values as partitions are written
+    touched = [row[0] for row in source.select(parts[0]).distinct().collect()]
+    if None in touched:
+        return swap_table(upsert(target, source, keys, null_safe), table)
+    held = target.filter(F.col(parts[0]).isin(touched))
+    merged = settle(upsert(held, source, keys, null_safe), "merged")
+    spread = clustered(merged, parts[0], *(k for k in keys if k != parts[0]))
+    spread.select(*target.columns).write.mode("overwrite").insertInto(table)
+    return spark.table(table)
+
+
 def _no_null(keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
 
@@ -163,7 +218,3 @@ def write_day_tree(df: DataFrame, path: str, column: str = "date") -> None:
 def not_yet_loaded(manifest: DataFrame, ledger: DataFrame, keys: list[str]) -> DataFrame:
     """The manifest entries whose key the ledger of loaded files lacks."""
     return manifest.join(ledger.select(*keys).distinct(), keys, "left_anti")
-
-
-def table_exists(spark: SparkSession, table: str) -> bool:
-    return spark.catalog.tableExists(table)

@@ -110,8 +110,10 @@ def daily_profile(trips: DataFrame) -> DataFrame:
 
 def date_patterns(profile: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """(date, pattern_type): days clustered by their hour shares."""
-    if start is not None and end is not None:
-        profile = filters.between_days(profile, start, end)
+    if start is not None:
+        profile = profile.filter(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        profile = profile.filter(F.col("date") <= F.lit(end).cast("date"))
     days = settle(profile.na.fill(0.0, HOUR_COLUMNS), "daily_profile")
     _, _, labelled = clustering.choose_k(days, HOUR_COLUMNS)
     return clustering.pattern_table(labelled)

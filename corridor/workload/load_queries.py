@@ -99,7 +99,7 @@ def upsert_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _order_rows(spark, sf_dir, "o_orderdate >= DATE '1998-01-01'", "o_totalprice + 1")
     table = f"{new_database(spark)}.orders"
     loads.replace_table(target, table)
-    return loads.swap_table(loads.upsert(spark.table(table), source, ["o_orderkey"]), table)
+    return loads.upsert_into(table, source, ["o_orderkey"])
 
 
 @query(
@@ -113,7 +113,9 @@ def upsert_composite_2(spark: SparkSession, sf_dir: str) -> DataFrame:
     income = settle(t.section_series(spark, sf_dir, "income"), "income")
     target = income.filter("fecha < '1999'")
     source = income.filter("fecha >= '1997'").withColumn("valor", F.col("valor") + 1)
-    return loads.upsert(target, source, ["codigo", "fecha"])
+    table = f"{new_database(spark)}.income"
+    loads.replace_table(target, table)
+    return loads.upsert_into(table, source, ["codigo", "fecha"])
 
 
 UPSERT_13 = """
@@ -131,7 +133,9 @@ def upsert_composite_13(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = settle(_bronze(spark, sf_dir), "bronze_trips")
     target = trips.filter("date < DATE '1999-01-01'")
     source = trips.filter("date >= DATE '1998-01-01'").withColumn("travels", F.col("travels") + 1)
-    merged = loads.upsert(target, source, TRIP_DIMENSIONS)
+    table = f"{new_database(spark)}.bronze_trips"
+    loads.replace_table(target, table)
+    merged = loads.upsert_into(table, source, TRIP_DIMENSIONS)
     return merged.withColumn("travels_km", F.round("travels_km", 2))
 
 

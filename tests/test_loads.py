@@ -63,6 +63,43 @@ def test_swap_table(spark, database):
     assert rows(spark.table(table)) == [("a", 2)]
 
 
+def test_a_failed_replacement_leaves_the_old_table(spark, database):
+    table = f"{database}.kept"
+    loads.replace_table(table_of(spark, [("a", 1)]), table)
+    bad = table_of(spark, [("b", 2)]).selectExpr("k", "CAST(raise_error('broken') AS INT) AS v")
+    with pytest.raises(Exception, match="broken"):
+        loads.replace_table(bad, table)
+    assert rows(spark.table(table)) == [("a", 1)]
+
+
+def test_days_of_an_unpartitioned_table(spark, database):
+    table, one, two = f"{database}.plain", date(2024, 1, 1), date(2024, 1, 2)
+    loads.replace_table(spark.createDataFrame([(1, one), (2, two), (3, None)], "id int, date date"), table)
+    again = spark.createDataFrame([(9, one)], "id int, date date")
+    assert rows(loads.replace_days(again, table, [one])) == [(2, two), (3, None), (9, one)]
+
+
+def test_merge_then_replace_a_day_keeps_the_other_days(spark, database):
+    table, one, two = f"{database}.days", date(2024, 1, 1), date(2024, 1, 2)
+    schema = "id int, v int, date date"
+    loads.replace_table(spark.createDataFrame([(1, 1, one), (2, 2, two)], schema), table, ["date"])
+    loads.swap_table(loads.upsert(spark.table(table), spark.createDataFrame([(1, 5, one)], schema), ["id", "date"]), table)
+    assert loads.partition_columns(spark, table) == ["date"]
+    loads.upsert_into(table, spark.createDataFrame([(1, 6, one), (3, 3, one)], schema), ["id", "date"])
+    assert rows(spark.table(table)) == [(1, 6, one), (2, 2, two), (3, 3, one)]
+    assert rows(loads.replace_days(spark.createDataFrame([(7, 7, one)], schema), table, [one])) == [(2, 2, two), (7, 7, one)]
+
+
+def test_a_double_match_fails_whatever_is_selected(spark):
+    merged = loads.upsert(table_of(spark, [("a", 1)]), table_of(spark, [("a", 2), ("a", 3)]), ["k"])
+    for use in (lambda: merged.count(), lambda: merged.select("k").collect()):
+        with pytest.raises(Exception, match="two source rows"):
+            use()
+    keys = table_of(spark, [("a",)], "k string")
+    with pytest.raises(Exception, match="two source rows"):
+        loads.upsert(keys, table_of(spark, [("a",), ("a",)], "k string"), ["k"]).collect()
+
+
 def test_except_treats_nulls_as_equal_and_folds_duplicates(spark):
     source = table_of(spark, [("a", 1), ("a", 1), (None, None), (None, 5)])
     target = table_of(spark, [(None, None), ("z", 0), ("z", 0)])
