@@ -106,7 +106,8 @@ def ranked(pieces: DataFrame) -> DataFrame:
     counts = pieces.groupBy("task", "length").agg(F.count("*").alias("n"))
     base = counts.select("task", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rank_base"))
     base = settle(base, "rank_bases")
-    return pieces.join(base, ["task", "length"]).withColumn("rank", F.col("rank_base") + F.col("task_rank"))
+    # It grows with the tasks, so it is never broadcast; a key has the rows of one task and length at most.
+    return pieces.join(base.hint("merge"), ["task", "length"]).withColumn("rank", F.col("rank_base") + F.col("task_rank"))
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
