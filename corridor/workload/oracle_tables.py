@@ -25,6 +25,24 @@ def _zone_points(zones: int) -> str:
               FROM embeddings GROUP BY 1)"""
 
 
+def measured(od: str) -> str:
+    """The pairs of ``od`` with both zones' facts and their distance; only pairs that occur are measured."""
+    return f"""
+        SELECT origin_id, destination_id, actual_trips, sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2) AS metres,
+            a.people AS people, b.euros AS euros
+        FROM {od}, zone_facts a, zone_facts b
+        WHERE a.distrito_id = origin_id AND b.distrito_id = destination_id AND origin_id <> destination_id"""
+
+
+def gravity(pairs: str, digits: int | None = None) -> str:
+    """People and euros over the squared distance, of at least 500 metres; rounded for comparing."""
+    shown = (lambda x: f"round({x}, {digits})") if digits else str
+    return f"""
+        SELECT origin_id, destination_id, actual_trips, {shown("far")} AS dist_meters, people AS "P_i", euros AS "E_j",
+            {shown("people * euros / (far * far)")} AS gravity_raw
+        FROM (SELECT *, CASE WHEN metres < 500 THEN 500 ELSE metres END AS far FROM {pairs})"""
+
+
 TABLES: dict[str, str] = {
     "legs": f"""
         SELECT CAST(l_shipdate AS DATE) AS date,
@@ -60,7 +78,8 @@ TABLES: dict[str, str] = {
         FROM customer""",
     "silver_relation": """
         SELECT * FROM relation
-        WHERE seccion_ine || distrito_ine || municipio_ine || distrito_mitma || municipio_mitma IS NOT NULL""",
+        WHERE seccion_ine IS NOT NULL AND distrito_ine IS NOT NULL AND municipio_ine IS NOT NULL
+            AND distrito_mitma IS NOT NULL AND municipio_mitma IS NOT NULL""",
     "district_map": "SELECT DISTINCT distrito_mitma, distrito_ine FROM silver_relation",
     "zone_points": _zone_points(ZONES),
     "fine_zones": f"""
@@ -81,47 +100,55 @@ TABLES: dict[str, str] = {
         FROM (SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS seccion, year(o_orderdate) AS year,
                 CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
         GROUP BY seccion, year""",
-    "section_values": """
-        SELECT m.distrito_ine AS distrito_id, year, CAST(people AS DOUBLE) AS poblacion_seccion,
-            CAST(income AS DOUBLE) AS renta_media_seccion
-        FROM section_years JOIN (SELECT DISTINCT seccion_ine, distrito_ine FROM silver_relation) m
-          ON seccion = m.seccion_ine""",
+    "section_targets": """
+        SELECT seccion_ine AS seccion, list(DISTINCT distrito_ine) AS codes FROM silver_relation GROUP BY seccion_ine""",
+    # whole-number sums: people come in hundreds and incomes in euros
     "demographics": """
-        SELECT distrito_id, year, round(euros, 2) AS renta_total_euros,
-            CASE WHEN people > 0 THEN round(euros / people, 2) END AS renta_media_euros,
-            people::INTEGER AS poblacion
-        FROM (SELECT distrito_id, year, SUM(poblacion_seccion) AS people,
-                SUM(poblacion_seccion * renta_media_seccion) AS euros
-              FROM section_values GROUP BY ALL)""",
+        SELECT distrito_id, year, CAST(euros AS DOUBLE) AS renta_total_euros,
+            round(CAST(euros AS DOUBLE) / people, 2) AS renta_media_euros, CAST(people AS INTEGER) AS poblacion
+        FROM (SELECT distrito_id, year, SUM(people) AS people, SUM(people * income) AS euros
+              FROM (SELECT unnest(codes) AS distrito_id, year, people, income
+                    FROM section_years JOIN section_targets USING (seccion))
+              GROUP BY distrito_id, year)""",
     "documents_flat": """
         SELECT seccion, year, right(seccion, 1) AS last, year || '-01-01T00:00:00.000+01:00' AS fecha,
             CASE WHEN year = 1997 AND right(seccion, 1) = '3' THEN '.' ELSE CAST(income AS VARCHAR) END AS valor
         FROM section_years""",
+    # every code with the list of its targets; a trip is repeated for each pair of targets
+    "recode_targets": "SELECT distrito_mitma AS code, list(distrito_ine) AS ids FROM district_map GROUP BY distrito_mitma",
+    "legs_by_hour": """
+        SELECT date, period, origin, destination, SUM(travels) AS travels, SUM(travels_km) AS travels_km
+        FROM legs GROUP BY date, period, origin, destination""",
     "silver_trips": """
-        SELECT date, period::INTEGER AS period, origin_id, destination_id,
+        SELECT date, CAST(period AS INTEGER) AS period, origin_id, destination_id,
             SUM(travels) AS travels, SUM(travels_km) AS travels_km
-        FROM legs
-        JOIN (SELECT distrito_mitma AS origin, distrito_ine AS origin_id FROM district_map) USING (origin)
-        JOIN (SELECT distrito_mitma AS destination, distrito_ine AS destination_id FROM district_map) USING (destination)
-        GROUP BY ALL""",
+        FROM (SELECT date, period, origin_id, unnest(d_ids) AS destination_id, travels, travels_km
+              FROM (SELECT date, period, unnest(o_ids) AS origin_id, d_ids, travels, travels_km
+                    FROM legs_by_hour JOIN recode_targets o(origin, o_ids) USING (origin)
+                    JOIN recode_targets d(destination, d_ids) USING (destination)))
+        GROUP BY date, period, origin_id, destination_id""",
     "od": "SELECT origin_id, destination_id, SUM(travels) AS actual_trips FROM silver_trips GROUP BY 1, 2",
-    "people_1996": "SELECT distrito_id AS origin_id, poblacion::DOUBLE AS people FROM demographics WHERE year = 1996",
-    "euros_1996": "SELECT distrito_id AS destination_id, renta_total_euros AS euros FROM demographics WHERE year = 1996",
-    "gravity": """
-        SELECT origin_id, destination_id, actual_trips, metres AS dist_meters, people AS "P_i", euros AS "E_j",
-            people * euros / pow(metres, 2) AS gravity_raw
-        FROM (SELECT od.*, greatest(distance_meters, 500) AS metres FROM od JOIN distances USING (origin_id, destination_id))
-        JOIN people_1996 USING (origin_id) JOIN euros_1996 USING (destination_id)""",
+    # all that is known of a zone in 1996, one row per zone geometry
+    "zone_facts": """
+        SELECT distrito_id, x, y, CAST(poblacion AS DOUBLE) AS people, renta_total_euros AS euros
+        FROM geometries JOIN demographics USING (distrito_id) WHERE year = 1996""",
+    "measured_od": measured("od"),
+    "gravity": gravity("measured_od"),
+    # the rank of a value is the number of smaller ones, from a running total of counts; NULL is the largest
+    "efficiency": """
+        SELECT *, CASE WHEN gravity_raw > 0 THEN actual_trips / gravity_raw END AS per_pull FROM gravity""",
+    "efficiency_counts": "SELECT per_pull, COUNT(*) AS n FROM efficiency GROUP BY per_pull",
+    "efficiency_ranks": """
+        SELECT per_pull, SUM(n) OVER (ORDER BY per_pull NULLS LAST) - n AS smaller, SUM(n) OVER () - 1 AS others
+        FROM efficiency_counts""",
     "trimmed": """
-        SELECT * EXCLUDE (place) FROM (
-            SELECT *, percent_rank() OVER (ORDER BY CASE WHEN gravity_raw <> 0 THEN actual_trips / gravity_raw END
-                NULLS LAST) AS place FROM gravity)
-        WHERE place >= 0.05 AND place <= 0.95""",
+        SELECT efficiency.* FROM efficiency JOIN efficiency_ranks r ON efficiency.per_pull IS NOT DISTINCT FROM r.per_pull
+        WHERE 20 * smaller >= others AND 20 * smaller <= 19 * others""",
     "gaps": """
-        SELECT origin_id, destination_id, actual_trips, dist_meters::INTEGER AS distance_meters,
-            demand::INTEGER AS potential_demand,
-            CASE WHEN demand <> 0 THEN round(actual_trips / demand, 4) END AS gap_ratio
-        FROM (SELECT *, gravity_raw * (SELECT SUM(actual_trips) / SUM(gravity_raw) FROM trimmed) AS demand FROM trimmed)""",
+        SELECT origin_id, destination_id, actual_trips, CAST(dist_meters AS INTEGER) AS distance_meters,
+            CAST(expected AS INTEGER) AS potential_demand,
+            CASE WHEN expected > 0 THEN round(actual_trips / expected, 4) END AS gap_ratio
+        FROM (SELECT *, gravity_raw * (SUM(actual_trips) OVER () / fsum(gravity_raw) OVER ()) AS expected FROM trimmed)""",
     "activity": """
         SELECT event_id, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
             CAST(value AS DECIMAL(18, 2)) AS value FROM events""",

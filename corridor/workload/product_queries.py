@@ -13,7 +13,7 @@ from corridor.schemas import HOUR_COLUMNS
 from corridor.session import settle
 from corridor.sources.calendar import special_days
 from corridor.workload import tables as t
-from corridor.workload.oracle_tables import statement
+from corridor.workload.oracle_tables import gravity, measured, statement
 from corridor.workload.registry import query
 from corridor.workload.relational_queries import (
     CALENDAR_JOIN,
@@ -376,22 +376,21 @@ def prod_trips_in_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.trips_in_region(silver_trips(spark, sf_dir), geometries(spark, sf_dir))
 
 
-def _features_sql(od: str) -> str:
-    return f"""
-        SELECT origin_id, destination_id, actual_trips, round(metres, 4) AS dist_meters, people AS "P_i", euros AS "E_j",
-            round(people * euros / pow(metres, 2), 4) AS gravity_raw
-        FROM (SELECT * REPLACE (greatest(distance_meters, 500) AS distance_meters) FROM {od}
-              JOIN distances USING (origin_id, destination_id)) AS pairs(origin_id, destination_id, actual_trips, metres)
-        JOIN people_{YEAR} USING (origin_id) JOIN euros_{YEAR} USING (destination_id)"""
+def _features_sql(od: str) -> dict[str, str]:
+    return {"measured_pairs": measured(od), "shown_features": gravity("measured_pairs", 4)}
+
+
+FEATURES = "SELECT * FROM shown_features"
 
 
 @query(
     "prod_gravity_features",
     statement(
-        _features_sql("region_od"),
+        FEATURES,
         **STUDY,
         region_trips=IN_ZONE.format(zones="zones_inside"),
         region_od="SELECT origin_id, destination_id, SUM(travels) AS actual_trips FROM region_trips GROUP BY 1, 2",
+        **_features_sql("region_od"),
     ),
 )
 def prod_gravity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,9 +407,10 @@ DATES = ("1996-01-01", "1996-12-31")
 @query(
     "prod_gravity_features_dated",
     statement(
-        _features_sql("dated_od"),
+        FEATURES,
         dated_od=f"""SELECT origin_id, destination_id, SUM(travels) AS actual_trips FROM silver_trips
             WHERE date BETWEEN DATE '{DATES[0]}' AND DATE '{DATES[1]}' GROUP BY 1, 2""",
+        **_features_sql("dated_od"),
     ),
 )
 def prod_gravity_features_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -424,10 +424,11 @@ def prod_gravity_features_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "prod_gravity_features_batched",
     statement(
-        _features_sql("batched_od"),
+        FEATURES,
         partials=PARTIALS,
         batched_od="""SELECT origin_id, destination_id, CAST(SUM(partial_trips) AS BIGINT) AS actual_trips
             FROM partials GROUP BY 1, 2""",
+        **_features_sql("batched_od"),
     ),
 )
 def prod_gravity_features_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,21 +504,17 @@ FANOUT = {
     "g1_trips": """SELECT date, lpad(origin, 8, '0') AS origin_id, lpad(destination, 8, '0') AS destination_id,
         travels FROM legs""",
     "g1_zones": "SELECT lpad(zone, 8, '0') AS zid, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM zone_points",
-    "g1_half": """SELECT a.zid AS zone_a_id, b.zid AS zone_b_id,
-        sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y)) AS distance_meters
-        FROM g1_zones a JOIN g1_zones b ON a.zid < b.zid""",
-    "g1_inputs": """SELECT origin_id, destination_id, distance_meters, SUM(travels) AS actual_trips,
-          MAX(people) AS p_most, MAX(income) AS e_most
-        FROM g1_trips JOIN (SELECT zid AS origin_id FROM g1_zones) USING (origin_id)
-        JOIN (SELECT zid AS destination_id FROM g1_zones) USING (destination_id)
-        JOIN (SELECT seccion AS origin_id, people FROM section_years) USING (origin_id)
-        JOIN (SELECT seccion AS destination_id, income FROM section_years) USING (destination_id)
-        JOIN (SELECT zone_a_id AS origin_id, zone_b_id AS destination_id, distance_meters FROM g1_half)
-          USING (origin_id, destination_id)
-        WHERE date >= DATE '1995-01-01' AND date <= DATE '2001-12-31' GROUP BY ALL""",
-    "g1_pull": """SELECT *, CAST(p_most AS DOUBLE) * CAST(e_most AS DOUBLE) AS weight,
-        pow(greatest(distance_meters, 0.1), 2) AS squared FROM g1_inputs""",
-    "g1_factor": "SELECT SUM(actual_trips) / SUM(weight / squared) AS factor FROM g1_pull",
+    # a pair counts once for each population row of its origin and income row of its destination
+    "g1_sections": """SELECT seccion, COUNT(*) AS n_years, MAX(people) AS people, MAX(income) AS income
+        FROM section_years GROUP BY seccion""",
+    "g1_totals": """SELECT origin_id, destination_id, SUM(travels) AS trips FROM g1_trips
+        WHERE year(date) BETWEEN 1995 AND 2001 AND origin_id < destination_id GROUP BY origin_id, destination_id""",
+    "g1_inputs": """SELECT origin_id, destination_id, sqrt((b.x - a.x) ** 2 + (b.y - a.y) ** 2) AS distance_meters,
+          trips * p.n_years * e.n_years AS actual_trips, p.people AS p_most, e.income AS e_most
+        FROM g1_totals, g1_zones a, g1_zones b, g1_sections p, g1_sections e
+        WHERE a.zid = origin_id AND b.zid = destination_id AND p.seccion = origin_id AND e.seccion = destination_id""",
+    "g1_pull": """SELECT *, CAST(p_most AS DOUBLE) * e_most / greatest(distance_meters * distance_meters, 0.01) AS pull
+        FROM g1_inputs""",
 }
 
 
@@ -561,9 +558,9 @@ def join_model_inputs_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "prod_infrastructure_gaps_gen1",
     statement(
-        """SELECT origin_id, destination_id, actual_trips, round(demand, 3) AS potential_demand,
-             CASE WHEN demand <> 0 THEN round(actual_trips / demand, 5) END AS gap_ratio
-           FROM (SELECT *, factor * weight / squared AS demand FROM g1_pull, g1_factor)""",
+        """SELECT origin_id, destination_id, actual_trips, round(expected, 3) AS potential_demand,
+             CASE WHEN expected > 0 THEN round(actual_trips / expected, 5) END AS gap_ratio
+           FROM (SELECT *, pull * (SUM(actual_trips) OVER () / fsum(pull) OVER ()) AS expected FROM g1_pull)""",
         **FANOUT,
     ),
 )

@@ -78,16 +78,29 @@ def filter_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.between_days(t.legs(spark, sf_dir), "1996-05-08", "1996-05-14")
 
 
-RANKED = """
-    SELECT l_orderkey, l_linenumber, l_extendedprice,
-        PERCENT_RANK() OVER (ORDER BY l_extendedprice / NULLIF(l_discount, 0)) AS pr FROM lineitem"""
+# the percent rank of a value: the number of smaller ones over the number of other rows
+COUNTED = {
+    "priced": """SELECT l_orderkey, l_linenumber, l_extendedprice,
+        CASE WHEN l_discount <> 0 THEN l_extendedprice / l_discount END AS per_discount FROM lineitem""",
+    "priced_counts": "SELECT per_discount, COUNT(*) AS n FROM priced GROUP BY per_discount",
+    "priced_ranks": """SELECT per_discount, SUM(n) OVER (ORDER BY per_discount NULLS LAST) - n AS smaller,
+        SUM(n) OVER () - 1 AS others FROM priced_counts""",
+    "ranked_prices": """SELECT l_orderkey, l_linenumber, l_extendedprice, smaller, others
+        FROM priced JOIN priced_ranks r ON priced.per_discount IS NOT DISTINCT FROM r.per_discount""",
+}
 
 
 def _discounted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_discount")
 
 
-@query("win_percent_rank", f"SELECT l_orderkey, l_linenumber, round(pr, 9) AS pr FROM ({RANKED})")
+@query(
+    "win_percent_rank",
+    statement(
+        "SELECT l_orderkey, l_linenumber, round(CAST(smaller AS DOUBLE) / CAST(others AS DOUBLE), 9) AS pr FROM ranked_prices",
+        **COUNTED,
+    ),
+)
 def win_percent_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     efficiency = s.ratio(F.col("l_extendedprice"), F.col("l_discount"))
     ranked = ranking.percent_rank(_discounted(spark, sf_dir), efficiency, "pr")
@@ -96,7 +109,11 @@ def win_percent_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "filter_percentile_band",
-    f"SELECT l_orderkey, l_linenumber, l_extendedprice FROM ({RANKED}) WHERE pr BETWEEN 0.05 AND 0.95",
+    statement(
+        """SELECT l_orderkey, l_linenumber, l_extendedprice FROM ranked_prices
+           WHERE 20 * smaller >= others AND 20 * smaller <= 19 * others""",
+        **COUNTED,
+    ),
 )
 def filter_percentile_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     efficiency = s.ratio(F.col("l_extendedprice"), F.col("l_discount"))
@@ -132,10 +149,10 @@ def join_zone_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_od_recode",
     statement(
-        """SELECT date, period, origin_id, destination_id, travels FROM legs
-           JOIN (SELECT distrito_mitma AS origin, distrito_ine AS origin_id FROM district_map) USING (origin)
-           JOIN (SELECT distrito_mitma AS destination, distrito_ine AS destination_id FROM district_map)
-             USING (destination)"""
+        """SELECT date, period, origin_id, unnest(d_ids) AS destination_id, travels
+           FROM (SELECT date, period, unnest(o_ids) AS origin_id, d_ids, travels
+                 FROM legs JOIN recode_targets o(origin, o_ids) USING (origin)
+                 JOIN recode_targets d(destination, d_ids) USING (destination))"""
     ),
 )
 def join_od_recode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,10 +209,13 @@ def st_within_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.zones_in_area(spark, geometries(spark, sf_dir), AREA, geographic=False)
 
 
+# a trip is repeated for every pair of zone rows its ends have
 IN_ZONE = """
-    SELECT date, period, origin_id, destination_id, travels FROM silver_trips
-    JOIN (SELECT distrito_id AS origin_id FROM {zones}) USING (origin_id)
-    JOIN (SELECT distrito_id AS destination_id FROM {zones}) USING (destination_id)"""
+    SELECT date, period, origin_id, destination_id, travels
+    FROM (SELECT silver_trips.*, unnest(range(a.n * b.n)) AS copy_no
+          FROM silver_trips, (SELECT distrito_id, COUNT(*) AS n FROM {zones} GROUP BY 1) a,
+            (SELECT distrito_id, COUNT(*) AS n FROM {zones} GROUP BY 1) b
+          WHERE origin_id = a.distrito_id AND destination_id = b.distrito_id)"""
 
 
 @query("join_both_ends_in_zone", statement(IN_ZONE.format(zones="zones_inside"), **inside_sql(AREA_EDGES)))
@@ -216,10 +236,8 @@ def join_semi_in_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STAR = """
-    SELECT origin_id, destination_id, actual_trips, round(distance_meters, 4) AS distance_meters,
-        people AS "P_i", euros AS "E_j"
-    FROM od JOIN distances USING (origin_id, destination_id)
-    JOIN people_1996 USING (origin_id) JOIN euros_1996 USING (destination_id)"""
+    SELECT origin_id, destination_id, actual_trips, round(metres, 4) AS distance_meters,
+        people AS "P_i", euros AS "E_j" FROM measured_od"""
 
 
 @query("join_gravity_star", statement(STAR))
@@ -368,7 +386,8 @@ def agg_ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(s.rounded(F.col("k_factor"), 6).alias("k_factor"))
 
 
-DAY_TYPE = "CASE WHEN isodow({}) > 5 THEN 'Weekend' ELSE 'Weekday' END"
+# days since a Monday
+DAY_TYPE = "if(datediff('day', DATE '1900-01-01', CAST({} AS DATE)) % 7 >= 5, 'Weekend', 'Weekday')"
 
 
 def by_type_sql(extra: str) -> str:
