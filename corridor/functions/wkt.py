@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 POINT = r"(?i)^\s*POINT\s*\(\s*(\S+)\s+([^\s)]+)\s*\)\s*$"
 RING = r"\(([^()]+)\)"
+BETWEEN_PARTS = r"\)\s*\)\s*,\s*\(\s*\("
 
 
 def point(text: Column) -> Column:
@@ -31,46 +32,64 @@ def rings(text: Column) -> Column:
     return F.transform(found, lambda ring: F.transform(F.split(ring, ","), _vertex))
 
 
-def ring_vertices(zones: DataFrame, zone_id: str, geometry: str) -> DataFrame:
-    """One row per vertex: zone, ring number, position in the ring, x, y."""
+def _part_rings(text: Column) -> Column:
+    """The same rings with the number of the part each belongs to."""
+
+    def of_part(part: Column, number: Column) -> Column:
+        closed = F.concat(F.lit("("), part, F.lit(")"))
+        return F.transform(rings(closed), lambda points: F.struct(number.alias("part"), points.alias("points")))
+
+    return F.flatten(F.transform(F.split(text, BETWEEN_PARTS), of_part))
+
+
+def ring_vertices(zones: DataFrame, zone_id: str, geometry: str, parts: bool = False) -> DataFrame:
+    """One row per vertex: zone, ring number, position in the ring, x, y.
+
+    Rings are numbered through all parts of a zone. With ``parts`` the number
+    of the part is a column too, so that several parts can be written back.
+    """
     by_ring = zones.select(
-        F.col(zone_id).alias("zone_id"), F.posexplode(rings(F.col(geometry))).alias("ring", "points")
+        F.col(zone_id).alias("zone_id"), F.posexplode(_part_rings(F.col(geometry))).alias("ring", "found")
     )
     by_vertex = by_ring.select(
-        "zone_id", "ring", F.posexplode("points").alias("seq", "vertex")
+        "zone_id", "ring", F.col("found.part").alias("part"), F.posexplode("found.points").alias("seq", "vertex")
     )
-    return by_vertex.select("zone_id", "ring", "seq", F.col("vertex.x"), F.col("vertex.y"))
+    part = ["part"] if parts else []
+    return by_vertex.select("zone_id", *part, "ring", "seq", F.col("vertex.x"), F.col("vertex.y"))
 
 
 def rings_to_text(vertices: DataFrame) -> DataFrame:
-    """Vertex rows back to one POLYGON text per zone, in ring and vertex order.
+    """Vertex rows back to one text per zone, in part, ring and vertex order: a
+    MULTIPOLYGON if the zone has several parts, else a POLYGON.
 
-    A ring is grouped first and a zone second, so no group holds more than one
-    zone's outline.
+    Without a column ``part`` all rings are one part. A ring is grouped first,
+    then a part and then a zone, so no group holds more than one zone's outline.
     """
-    by_ring = (
-        vertices.groupBy("zone_id", "ring")
-        .agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("vertices"))
-        .select(
-            "zone_id",
-            "ring",
-            F.concat(
-                F.lit("("),
-                F.array_join(
-                    F.transform(
-                        "vertices", lambda v: F.concat_ws(" ", plain_number(v["x"]), plain_number(v["y"]))
-                    ),
-                    ", ",
-                ),
-                F.lit(")"),
-            ).alias("text"),
-        )
+    if "part" not in vertices.columns:
+        vertices = vertices.withColumn("part", F.lit(0))
+
+    def listed(texts: Column) -> Column:
+        return F.concat(F.lit("("), F.array_join(texts, ", "), F.lit(")"))
+
+    corner = F.struct("seq", "x", "y")
+    by_ring = vertices.groupBy("zone_id", "part", "ring").agg(
+        listed(
+            F.transform(
+                F.sort_array(F.collect_list(corner)),
+                lambda v: F.concat_ws(" ", plain_number(v["x"]), plain_number(v["y"])),
+            )
+        ).alias("text")
+    )
+    by_part = by_ring.groupBy("zone_id", "part").agg(
+        listed(F.transform(F.sort_array(F.collect_list(F.struct("ring", "text"))), lambda r: r["text"])).alias("text")
     )
-    whole = F.sort_array(F.collect_list(F.struct("ring", "text")))
-    return by_ring.groupBy("zone_id").agg(
-        F.concat(
-            F.lit("POLYGON ("), F.array_join(F.transform(whole, lambda r: r["text"]), ", "), F.lit(")")
-        ).alias("geom_wkt")
+    whole = by_part.groupBy("zone_id").agg(F.sort_array(F.collect_list(F.struct("part", "text"))).alias("parts"))
+    texts = F.transform("parts", lambda p: p["text"])
+    return whole.select(
+        "zone_id",
+        F.when(F.size("parts") > 1, F.concat(F.lit("MULTIPOLYGON "), listed(texts)))
+        .otherwise(F.concat(F.lit("POLYGON "), F.get(texts, F.lit(0))))
+        .alias("geom_wkt"),
     )
 
 

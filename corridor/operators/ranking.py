@@ -42,7 +42,10 @@ def _placed_counts(df: DataFrame, value: Column, ranges: int | None) -> DataFram
 def value_ranks(df: DataFrame, value: Column, ranges: int | None = None) -> DataFrame:
     """(value, rows, rank, total): each distinct value, how many rows hold it,
     the 1-based rank they share, and the row count. NULL ranks last."""
-    placed = _placed_counts(df, value, ranges)
+    return _ranked(_placed_counts(df, value, ranges))
+
+
+def _ranked(placed: DataFrame) -> DataFrame:
     sizes = placed.groupBy("_range").agg(F.sum("rows").alias("_size"))
     # at most ranges + 1 rows, so this unpartitioned window stays tiny
     running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,16 +66,21 @@ def _earlier() -> Column:
 
 def _range_of(value: str, cuts: list[float]) -> Column:
     """The number of cuts at or below the value; NULL gets a range of its own.
-    A binary search written as nested conditions, so it compiles."""
 
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        middle = (low + high) // 2
-        under, over = search(low, middle), search(middle + 1, high)
-        return f"IF({value} < DOUBLE('{cuts[middle]!r}'), {under}, {over})"
+    A binary search that folds over its step sizes, with the cuts as one constant
+    array: the expression has the same size for any number of cuts.
+    """
+    if not cuts:
+        return F.when(F.col(value).isNull(), 1).otherwise(0)
+    steps = [1 << bit for bit in reversed(range(len(cuts).bit_length()))]
+
+    def step(found: Column, size: Column) -> Column:
+        # past the end of the array the cut is NULL, and the step is not taken
+        return F.when(F.get(F.lit(cuts), found + size - 1) <= F.col(value), found + size).otherwise(found)
 
-    return F.expr(f"IF({value} IS NULL, {len(cuts) + 1}, {search(0, len(cuts))})")
+    return F.when(F.col(value).isNull(), len(cuts) + 1).otherwise(
+        F.aggregate(F.lit(steps), F.lit(0), step)
+    )
 
 
 def _percent(rank: Column, total: Column) -> Column:
@@ -80,13 +88,23 @@ def _percent(rank: Column, total: Column) -> Column:
 
 
 def percent_rank(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add each row's percent rank by ``value``, NULLs last."""
-    ranks = value_ranks(df, value).select(
-        F.col("value").alias("_value"), _percent(F.col("rank"), F.col("total")).alias(name)
+    """Add each row's percent rank by ``value``, NULLs last.
+
+    Rows without a value share one rank, known from two counts: they go around
+    the join, where they would all meet on one key.
+    """
+    placed = _placed_counts(df, value, None)
+    counts = placed.agg(F.sum("rows").alias("total"), F.sum(F.when(F.col("value").isNotNull(), F.col("rows"))).alias("known"))
+    total, known = counts.first()
+    last = (known or 0) / (total - 1) if total and total > 1 else 0.0
+    ranks = _ranked(placed.filter(F.col("value").isNotNull())).select(
+        F.col("value").alias("_value"), _percent(F.col("rank"), F.lit(total)).alias(name)
     )
     keyed = df.withColumn("_value", value.cast("double"))
-    met = keyed.alias("l").join(ranks.alias("r"), F.col("l._value").eqNullSafe(F.col("r._value")))
-    return met.select(*(F.col(f"l.{column}") for column in df.columns), F.col(f"r.{name}"))
+    met = keyed.filter(F.col("_value").isNotNull()).alias("l").join(ranks.alias("r"), F.col("l._value") == F.col("r._value"))
+    found = met.select(*(F.col(f"l.{column}") for column in df.columns), F.col(f"r.{name}"))
+    missing = keyed.filter(F.col("_value").isNull()).drop("_value")
+    return found.unionByName(missing.withColumn(name, F.lit(last)))
 
 
 def percent_rank_band(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,10 +82,16 @@ def read_detected(spark: SparkSession, path: str | list[str], schema: StructType
     """
     by_delimiter: dict[str, list[str]] = {}
     for row in delimiters(spark, path, glob).collect():
-        by_delimiter.setdefault(row["delimiter"], []).append(row["file"])
+        by_delimiter.setdefault(row["delimiter"], []).append(_as_path(row["file"]))
     parts = [
         read_lenient(spark, files, schema, sep, quote="").withColumn("delimiter", F.lit(sep))
         for sep, files in sorted(by_delimiter.items())
     ]
     empty = spark.createDataFrame([], schema).withColumn("delimiter", F.lit(None).cast("string"))
     return reduce(DataFrame.unionByName, parts) if parts else empty
+
+
+def _as_path(file: str) -> str:
+    """A file's address as a path to read: the metadata escapes it like a URL, and
+    the reader takes some characters for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))

@@ -23,7 +23,7 @@ TRIP_TITLES = {
     "bronze_mitma_viajes_municipios": "Viajes_municipios",
 }
 TRIP_LINK_MARKER = "estudios_basicos"
-GEOMETRY_TITLE = "zonificacion_distritos"
+GEOMETRY_TITLES = {"bronze_zona_distritos": "zonificacion_distritos"}
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:

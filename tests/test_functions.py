@@ -141,3 +141,13 @@ def test_vertices_round_trip(spark):
     assert rows(vertices)[1] == ("z", 0, 1, 10.5, 0.0)
     assert vertices.count() == 8
     assert rows(wkt.rings_to_text(vertices)) == [("z", text)]
+
+
+def test_several_parts_round_trip(spark):
+    text = "MULTIPOLYGON (((0 0, 9 0, 9 9, 0 0), (1 1, 2 1, 2 2, 1 1)), ((20 20, 21 20, 21 21, 20 20)))"
+    zones = spark.createDataFrame([("m", text), ("p", "POLYGON ((0 0, 1 0, 1 1, 0 0))")], "id string, geom string")
+    vertices = wkt.ring_vertices(zones, "id", "geom", parts=True)
+    assert sorted({(v["zone_id"], v["part"], v["ring"]) for v in vertices.collect()}) == [
+        ("m", 0, 0), ("m", 0, 1), ("m", 1, 2), ("p", 0, 0)
+    ]
+    assert sorted(rows(wkt.rings_to_text(vertices))) == [("m", text), ("p", "POLYGON ((0 0, 1 0, 1 1, 0 0))")]

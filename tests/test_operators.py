@@ -161,6 +161,15 @@ def test_band_equals_the_window(spark, ranges, band):
     assert {r[0] for r in got.collect()} == {r[0] for r in want.collect()}
 
 
+def test_ranges_stay_small_code_at_their_most(spark):
+    table = spark.range(5000).select((F.col("id") * 7 % 5000).cast("double").alias("v"))
+    cuts = [float(5 * i) for i in range(1, ranking.MOST_RANGES)]
+    placed = table.select("v", ranking._range_of("v", cuts).alias("r"))
+    assert placed.filter(F.least(F.floor(F.col("v") / 5), F.lit(len(cuts))) != F.col("r")).count() == 0
+    ranked = ranking.percent_rank(table, F.col("v"), "pr")
+    assert ranked.filter(F.abs(F.col("pr") - F.col("v") / 4999) > 1e-12).count() == 0
+
+
 def test_percent_rank_of_one_row_and_none(spark):
     one = spark.createDataFrame([(1, 2.0)], "id int, v double")
     assert rows(ranking.percent_rank(one, F.col("v"), "pr")) == [(1, 2.0, 0.0)]

@@ -84,6 +84,12 @@ def test_files_of_both_delimiters_and_by_pattern(spark, tmp_path):
     assert rows(table) == [('"q', "4", "|"), ("01", "2", ";")]
 
 
+def test_files_in_folders_with_special_characters(spark, tmp_path):
+    write(tmp_path / "a b [1] %20" / "x y.csv", "a;b\n01;2\n")
+    table = delimited.read_detected(spark, str(tmp_path / "a b \\[1\\] %20"), strings("a", "b"))
+    assert rows(table) == [("01", "2", ";")]
+
+
 def test_dimension_file_keeps_zeros_and_cuts_columns(spark, tmp_path):
     path = write(tmp_path / "r.csv", "|".join([*RELATION.fieldNames(), "more"]) + "\n01|02|03|04|05|NA|x\n01|02|03|04|05||x\n")
     table = delimited.read_dimension(spark, path, ["seccion_ine", "gau_mitma"])
