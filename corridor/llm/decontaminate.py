@@ -232,7 +232,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     key = F.xxhash64(id_column, text_column)
     judged = contamination(docs.select(key.alias("row_key"), text_column), benchmark, "row_key", text_column)
     bad = settle(judged.filter("contaminated").select(F.col("doc_id").alias("row_key")).distinct(), "contaminated")
-    return docs.join(bad, key == F.col("row_key"), "left_anti")
+    return docs.join(bad, key == bad["row_key"], "left_anti")
 
 
 def find_near(index: DataFrame, items: DataFrame, within: int, id_column: str = "item_id", text_column: str = "text",

@@ -349,5 +349,5 @@ def without_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column:
     """The rows of ``docs`` that stay, one of each group, with all columns; rows alike in id and text once."""
     groups = near_groups(docs, id_column, text_column).filter("stays")
     staying = settle(groups.select(F.col("doc_id").alias("stay_id"), F.col("text_hash").alias("stay_hash")).distinct(), "staying")
-    same = docs[id_column].cast("long").eqNullSafe(F.col("stay_id")) & (F.xxhash64(docs[text_column]) == F.col("stay_hash"))
+    same = docs[id_column].cast("long").eqNullSafe(staying["stay_id"]) & (F.xxhash64(docs[text_column]) == staying["stay_hash"])
     return docs.join(staying, same, "left_semi")

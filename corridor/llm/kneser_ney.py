@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corridor.llm.text import text_groups
 from corridor.session import settle
@@ -161,13 +162,18 @@ def block_of(docs: DataFrame, id_column: str) -> F.Column:
     )
 
 
-def score(docs: DataFrame, model: DataFrame, id_column: str = "doc_id", text_column: str = "text", order: int = ORDER) -> DataFrame:
-    """doc_id, n_chars, log_prob, perplexity of every row; ``docs`` has to be read from files (else it is stored first)."""
+def score(docs: DataFrame, model: DataFrame, id_column: str = "doc_id", text_column: str = "text", order: int = ORDER,
+          carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_chars, log_prob, perplexity and the columns of ``carry`` of every row, rows without id too.
+
+    ``docs`` has to be read from files (else it is stored first).
+    """
     if not docs.inputFiles():
         docs = settle(docs, "docs")
     rows = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), block_of(docs, id_column).alias("block")
-    )
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), block_of(docs, id_column).alias("block"),
+        F.struct(F.lit(0).alias("_"), *carry).alias("carried"),
+    )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task has a few blocks at a time, each at most BLOCK_BYTES of file.
@@ -195,14 +201,16 @@ def score(docs: DataFrame, model: DataFrame, id_column: str = "doc_id", text_col
                 out.append((doc_id, len(grams), total, math.exp(-total / len(grams)) if len(grams) else None))
         columns = list(zip(*out, strict=True)) or [(), (), (), ()]
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_chars", "log_prob", "perplexity"])
+        scores = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
+        return pa.table([*scores, asked.column("carried")], names=["doc_id", "n_chars", "log_prob", "perplexity", "carried"])
 
-    questions = rows.mapInArrow(ask, "block string, key bigint")
+    numbers = T.StructType().add("doc_id", "long").add("n_chars", "long").add("log_prob", "double").add("perplexity", "double")
+    questions = rows.select("text", "block").mapInArrow(ask, "block string, key bigint")
     answers = settle(questions.join(model, "key"), "answers")
     scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        answer, "doc_id bigint, n_chars bigint, log_prob double, perplexity double"
+        answer, numbers.add("carried", rows.schema["carried"].dataType)
     )
-    return scored
+    return scored.select("doc_id", "n_chars", "log_prob", "perplexity", *(F.col("carried")[c].alias(c) for c in carry))
 
 
 def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -73,12 +73,11 @@ def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
     model = kneser_ney.train(kneser_ney.trusted_rows(docs, table(spark, sf_dir, "labels")))
-    scored = settle(kneser_ney.score(docs, model), "perplexities")
-    with_lang = settle(scored.join(docs.select("doc_id", "lang").distinct(), "doc_id"), "with_lang")
-    limits = settle(kneser_ney.thresholds(with_lang.join(good, "doc_id", "left_semi")), "limits")
+    scored = settle(kneser_ney.score(docs, model, carry=("lang",)), "perplexities")
+    limits = settle(kneser_ney.thresholds(scored.join(good, "doc_id", "left_semi")), "limits")
     # One row for each language with enough trusted texts, and one for the rest.
     general = limits.filter("lang IS NULL").first()["threshold"]
-    judged = with_lang.join(limits.filter("lang IS NOT NULL"), "lang", "left")
+    judged = scored.join(limits.filter("lang IS NOT NULL"), "lang", "left")
     limit = F.coalesce("threshold", F.lit(general).cast("double"))
     return judged.select(
         "doc_id", "lang", "n_chars", "log_prob", "perplexity", limit.alias("threshold"),

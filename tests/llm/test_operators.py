@@ -281,7 +281,9 @@ def test_decontamination(spark, odd_rows):
     blocks = decontaminate.find_phrases(decontaminate.build_index(table(spark, rows)), benchmark, most=60)
     again = Counter((r.doc_id, ",".join(r["items"])) for r in blocks.collect())
     assert again == Counter({(k[0], k[3]): 0 for k in want} | Counter((k[0], k[3]) for k in want.elements()))
-    kept = decontaminate.clean_rows(table(spark, rows), benchmark)
+    clashing = table(spark, rows).selectExpr("*", "0 AS row_key")
+    kept = decontaminate.clean_rows(clashing, benchmark)
+    assert kept.columns == clashing.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(k[0] for k in want.elements() if not k[4])
     assert decontaminate.contamination(empty(spark), benchmark).count() == 0
     assert decontaminate.contamination(table(spark, rows), benchmark.limit(0)).filter("n_hit > 0").count() == 0
@@ -389,6 +391,11 @@ def test_kneser_ney(spark, tmp_path):
     assert got == want
     labels = spark.createDataFrame([(0, 1), (1, 1), (1, 1), (2, 0), (None, 1)], "doc_id bigint, quality int")
     assert {r.doc_id for r in kneser_ney.trusted_rows(trusted, labels).collect()} == {0, 1}
+    unnamed = str(tmp_path / "unnamed.parquet")
+    table(spark, [(None, texts[0], "en"), (None, texts[0], "fr"), (7, texts[0], None), (7, texts[0], "en")]).write.parquet(unnamed)
+    carried = kneser_ney.score(spark.read.parquet(unnamed), model, carry=("lang", "start")).collect()
+    assert Counter((r.doc_id, r.lang, r.start) for r in carried) == Counter([(None, "en", 1), (None, "fr", 1), (7, None, 1), (7, "en", 1)])
+    assert len({r.perplexity for r in carried}) == 1
     untaught = kneser_ney.train(empty(spark))
     assert kneser_ney.score(trusted, untaught).filter("perplexity IS NULL").count() == 0
     assert kneser_ney.score(empty(spark), model).count() == 0
