@@ -119,9 +119,9 @@ def upsert_composite_2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 UPSERT_13 = """
-    SELECT {dims}, travels, round(travels_km, 2) AS travels_km FROM bronze_trips WHERE date < DATE '1998-01-01'
-    UNION ALL SELECT {dims}, travels + 1, round(travels_km, 2) FROM bronze_trips WHERE date >= DATE '1998-01-01'
-    UNION ALL SELECT {dims}, travels, round(travels_km, 2) FROM bronze_trips
+    SELECT {dims}, travels, round(travels_km, 2) AS travels_km FROM busy_bronze WHERE date < DATE '1998-01-01'
+    UNION ALL SELECT {dims}, travels + 1, round(travels_km, 2) FROM busy_bronze WHERE date >= DATE '1998-01-01'
+    UNION ALL SELECT {dims}, travels, round(travels_km, 2) FROM busy_bronze
     WHERE gender IS NULL AND date >= DATE '1998-01-01' AND date < DATE '1999-01-01'
 """.format(dims=", ".join(TRIP_DIMENSIONS))
 
@@ -140,7 +140,7 @@ def upsert_composite_13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.legs(spark, sf_dir).groupBy(*TRIP_DIMENSIONS).agg(
+    return t.busy_legs(spark, sf_dir).groupBy(*TRIP_DIMENSIONS).agg(
         F.sum("travels").alias("travels"), F.sum("travels_km").alias("travels_km")
     )
 

@@ -25,6 +25,35 @@ def _zone_points(zones: int) -> str:
               FROM embeddings GROUP BY 1)"""
 
 
+def _folded(code: str, width: int) -> str:
+    return f"lpad(CAST({code}::INT % 5 AS VARCHAR), {width}, '0')"
+
+
+def _by_hour(legs: str) -> str:
+    return f"""
+        SELECT date, period, origin, destination, SUM(travels) AS travels, SUM(travels_km) AS travels_km
+        FROM {legs} GROUP BY date, period, origin, destination"""
+
+
+def _recoded(by_hour: str) -> str:
+    return f"""
+        SELECT date, CAST(period AS INTEGER) AS period, origin_id, destination_id,
+            SUM(travels) AS travels, SUM(travels_km) AS travels_km
+        FROM (SELECT date, period, origin_id, unnest(d_ids) AS destination_id, travels, travels_km
+              FROM (SELECT date, period, unnest(o_ids) AS origin_id, d_ids, travels, travels_km
+                    FROM {by_hour} JOIN recode_targets o(origin, o_ids) USING (origin)
+                    JOIN recode_targets d(destination, d_ids) USING (destination)))
+        GROUP BY date, period, origin_id, destination_id"""
+
+
+def _all_dimensions(legs: str) -> str:
+    return f"""
+        SELECT date, period, origin, destination, distance, activity_origin, activity_destination,
+            study_origin_posible, study_destination_posible, residence, rent, age, gender,
+            SUM(travels) AS travels, SUM(travels_km) AS travels_km
+        FROM {legs} GROUP BY ALL"""
+
+
 def measured(od: str) -> str:
     """The pairs of ``od`` with both zones' facts and their distance; only pairs that occur are measured."""
     return f"""
@@ -61,11 +90,19 @@ TABLES: dict[str, str] = {
             CASE WHEN l_tax >= 0.08 THEN NULL WHEN l_orderkey % 2 = 0 THEN 'hombre' ELSE 'mujer' END AS gender,
             l_quantity AS travels, l_extendedprice AS travels_km
         FROM lineitem""",
-    "bronze_trips": """
-        SELECT date, period, origin, destination, distance, activity_origin, activity_destination,
-            study_origin_posible, study_destination_posible, residence, rent, age, gender,
-            SUM(travels) AS travels, SUM(travels_km) AS travels_km
-        FROM legs GROUP BY ALL""",
+    # a few days, hours and zones, so that groups hold many rows
+    "busy_legs": f"""
+        SELECT * REPLACE (CAST(date_trunc('year', date) AS DATE) + (dayofyear(date) % 3)::INT AS date,
+            lpad(CAST(period::INT % 2 AS VARCHAR), 2, '0') AS period,
+            {_folded("origin", 3)} AS origin, {_folded("destination", 3)} AS destination,
+            if(origin::INT % 5 < 3, '2-10', '10-50') AS distance,
+            if(origin::INT % 5 < 2, 'si', 'no') AS study_origin_posible,
+            if(destination::INT % 5 < 2, 'si', 'no') AS study_destination_posible,
+            {_folded("destination", 2)} AS residence, if(period::INT % 2 = 0, '<10', '>15') AS rent,
+            if(origin::INT % 5 = 0, '25-45', '45-65') AS age, if(period::INT % 2 = 0, NULL, 'mujer') AS gender)
+        FROM legs""",
+    "bronze_trips": _all_dimensions("legs"),
+    "busy_bronze": _all_dimensions("busy_legs"),
     "relation": f"""
         SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS seccion_ine,
             'D' || lpad(CAST(CASE WHEN c_custkey % 97 = 0 THEN (c_custkey + 1) % {ZONES}
@@ -116,17 +153,10 @@ TABLES: dict[str, str] = {
         FROM section_years""",
     # every code with the list of its targets; a trip is repeated for each pair of targets
     "recode_targets": "SELECT distrito_mitma AS code, list(distrito_ine) AS ids FROM district_map GROUP BY distrito_mitma",
-    "legs_by_hour": """
-        SELECT date, period, origin, destination, SUM(travels) AS travels, SUM(travels_km) AS travels_km
-        FROM legs GROUP BY date, period, origin, destination""",
-    "silver_trips": """
-        SELECT date, CAST(period AS INTEGER) AS period, origin_id, destination_id,
-            SUM(travels) AS travels, SUM(travels_km) AS travels_km
-        FROM (SELECT date, period, origin_id, unnest(d_ids) AS destination_id, travels, travels_km
-              FROM (SELECT date, period, unnest(o_ids) AS origin_id, d_ids, travels, travels_km
-                    FROM legs_by_hour JOIN recode_targets o(origin, o_ids) USING (origin)
-                    JOIN recode_targets d(destination, d_ids) USING (destination)))
-        GROUP BY date, period, origin_id, destination_id""",
+    "legs_by_hour": _by_hour("legs"),
+    "busy_by_hour": _by_hour("busy_legs"),
+    "silver_trips": _recoded("legs_by_hour"),
+    "busy_silver": _recoded("busy_by_hour"),
     "od": "SELECT origin_id, destination_id, SUM(travels) AS actual_trips FROM silver_trips GROUP BY 1, 2",
     # all that is known of a zone in 1996, one row per zone geometry
     "zone_facts": """

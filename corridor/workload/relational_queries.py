@@ -29,6 +29,10 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.trips(t.legs(spark, sf_dir), district_map(spark, sf_dir))
 
 
+def busy_silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.trips(t.busy_legs(spark, sf_dir), district_map(spark, sf_dir))
+
+
 def geometries(spark: SparkSession, sf_dir: str, mapping: DataFrame | None = None) -> DataFrame:
     """Zones under statistical codes, written once."""
     found = silver.geometries(
@@ -300,20 +304,20 @@ THIRTEEN = "date, period, origin, destination, distance, activity_origin, activi
 
 
 @query(
-    "agg_trips_13dim", statement(f"SELECT {THIRTEEN}, travels, round(travels_km, 2) AS travels_km FROM bronze_trips")
+    "agg_trips_13dim", statement(f"SELECT {THIRTEEN}, travels, round(travels_km, 2) AS travels_km FROM busy_bronze")
 )
 def agg_trips_13dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_places(aggregates.by_all_dimensions(t.raw_trips(spark, sf_dir)), "travels_km")
+    return two_places(aggregates.by_all_dimensions(t.raw_trips(spark, sf_dir, busy=True)), "travels_km")
 
 
 @query(
     "agg_od_hour",
     statement(
-        "SELECT date, period, origin_id, destination_id, travels, round(travels_km, 2) AS travels_km FROM silver_trips"
+        "SELECT date, period, origin_id, destination_id, travels, round(travels_km, 2) AS travels_km FROM busy_silver"
     ),
 )
 def agg_od_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_places(silver_trips(spark, sf_dir), "travels_km")
+    return two_places(busy_silver_trips(spark, sf_dir), "travels_km")
 
 
 @query(
@@ -322,14 +326,14 @@ def agg_od_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
         """SELECT date, CAST(period AS INTEGER) AS period, origin AS origin_id, destination AS destination_id,
              SUM(travels) AS travels, round(SUM(travels_km), 2) AS travels_km
            FROM (SELECT * REPLACE (CASE WHEN activity_origin = 'A' THEN ltrim(period, '0') || CASE WHEN period = '00' THEN '0' ELSE '' END
-                                   ELSE period END AS period) FROM legs) shown
+                                   ELSE period END AS period) FROM busy_legs) shown
            GROUP BY date, shown.period, origin, destination"""
     ),
 )
 def agg_od_hour_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Some rows write the hour without its leading zero: they stay apart."""
     bare = F.col("periodo").cast("int").cast("string")
-    mixed = t.raw_trips(spark, sf_dir).withColumn(
+    mixed = t.raw_trips(spark, sf_dir, busy=True).withColumn(
         "periodo", F.when(F.col("actividad_origen") == "A", bare).otherwise(F.col("periodo"))
     )
     return two_places(aggregates.by_od_hour_raw(filters.renamed(mixed, TRIP_FIELDS)), "travels_km")
@@ -344,12 +348,12 @@ WEEKS = ("1995-01-01", "2001-12-31")
 PARTIALS = f"""
     SELECT CAST(floor((date - DATE '{WEEKS[0]}') / 7) AS BIGINT) AS batch, origin_id, destination_id,
         CAST(SUM(travels * 0.5::DOUBLE) AS BIGINT) AS partial_trips
-    FROM silver_trips WHERE date BETWEEN DATE '{WEEKS[0]}' AND DATE '{WEEKS[1]}' GROUP BY 1, 2, 3"""
+    FROM busy_silver WHERE date BETWEEN DATE '{WEEKS[0]}' AND DATE '{WEEKS[1]}' GROUP BY 1, 2, 3"""
 
 
 def halved_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half trips, so that partial sums end in .5 and the rounding shows."""
-    trips = silver_trips(spark, sf_dir).withColumn("travels", F.col("travels") * 0.5)
+    trips = busy_silver_trips(spark, sf_dir).withColumn("travels", F.col("travels") * 0.5)
     return aggregates.weekly_partials(trips, *WEEKS)
 
 

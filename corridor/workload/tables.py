@@ -45,9 +45,32 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def busy_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows on a few days, hours and zones: every group of a sum holds
+    many rows, and more of them where there is more data."""
+
+    def folded(code: str, width: int) -> str:
+        return f"lpad(CAST(CAST({code} AS INT) % 5 AS STRING), {width}, '0')"
+
+    few = {
+        "date": "date_add(trunc(date, 'year'), dayofyear(date) % 3)",
+        "period": "lpad(CAST(CAST(period AS INT) % 2 AS STRING), 2, '0')",
+        "origin": folded("origin", 3),
+        "destination": folded("destination", 3),
+        "distance": "CASE WHEN CAST(origin AS INT) % 5 < 3 THEN '2-10' ELSE '10-50' END",
+        "study_origin_posible": "CASE WHEN CAST(origin AS INT) % 5 < 2 THEN 'si' ELSE 'no' END",
+        "study_destination_posible": "CASE WHEN CAST(destination AS INT) % 5 < 2 THEN 'si' ELSE 'no' END",
+        "residence": folded("destination", 2),
+        "rent": "CASE WHEN CAST(period AS INT) % 2 = 0 THEN '<10' ELSE '>15' END",
+        "age": "CASE WHEN CAST(origin AS INT) % 5 = 0 THEN '25-45' ELSE '45-65' END",
+        "gender": "CASE WHEN CAST(period AS INT) % 2 = 0 THEN NULL ELSE 'mujer' END",
+    }
+    return legs(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in few.items()})
+
+
+def raw_trips(spark: SparkSession, sf_dir: str, busy: bool = False) -> DataFrame:
     """The same rows as published: all strings, compact dates."""
-    typed = legs(spark, sf_dir).withColumn("date", F.date_format("date", "yyyyMMdd"))
+    typed = (busy_legs if busy else legs)(spark, sf_dir).withColumn("date", F.date_format("date", "yyyyMMdd"))
     return typed.select(*(F.col(new).cast("string").alias(old) for old, new in TRIP_FIELDS.items()))
 
 
