@@ -34,7 +34,8 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def dimension_files(items: DataFrame, titles: dict[str, str] = DIMENSION_TITLES) -> DataFrame:
-    """(url, table) of the items whose title contains a table's file name."""
+    """(url, table) of the items whose title contains a table's file name; with
+    ``GEOMETRY_TITLES`` the archives of zone outlines."""
     hits = [
         F.when(F.contains("title", F.lit(title)), F.lit(table)) for table, title in titles.items()
     ]
