@@ -10,10 +10,12 @@ Scoring joins counts to documents by shards: the documents of one piece of input
 a block asks for each of its distinct n-grams once, the join answers with the ones the model knows,
 and the block is scored with its answers alone. No task holds the model, and what is shuffled grows
 with the input. Perplexity is per character over the whole text. A text is kept when its perplexity
-is at most its language's quantile over the trusted texts, with a margin.
+is at most the quantile over the trusted texts of its language and of its band of length: the fewer
+characters, the wider perplexities spread.
 
-Null and empty texts have no perplexity and are not kept. Rows without language, and languages with
-few trusted texts, use the quantile over all. Repeated rows are scored one by one. Without trusted
+Null and empty texts have no perplexity and are not kept. Where a language has few trusted texts in
+a band, and for rows without language, the quantile is over all languages' texts of that band; if
+these are few too, over the language's texts of any length, and at last over all. Repeated rows are scored one by one. Without trusted
 texts every probability is uniform. Characters beyond the first 3,840 share 255 codes.
 """
 
@@ -36,8 +38,9 @@ BITS = 12
 DIRECT = 0xF00
 TAG = 60
 QUANTILE = 0.99
-MARGIN = 1.5
 LEAST_TRUSTED = 50
+#: Characters at which a new band of length begins.
+BANDS = (64, 256, 1024, 4096, 16384)
 #: Trusted ids are broadcast up to this many (16 MB), joined by shuffling beyond.
 MOST_BROADCAST = 2_000_000
 #: Bytes of input file that make a block.
@@ -219,9 +222,33 @@ def trusted_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(good) if good.count() <= MOST_BROADCAST else good, "doc_id")
 
 
-def thresholds(scored: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
-    """(lang, threshold) from trusted rows with lang and perplexity; the row without lang holds for all others."""
-    limit = (F.percentile_approx("perplexity", quantile, 10_000) * margin).alias("threshold")
-    trusted = scored.filter("perplexity IS NOT NULL")
-    own = trusted.filter("lang IS NOT NULL").groupBy("lang").agg(limit, F.count("*").alias("n")).filter(F.col("n") >= LEAST_TRUSTED)
-    return own.select("lang", "threshold").union(trusted.agg(limit).select(F.lit(None).cast("string"), "threshold"))
+def band() -> F.Column:
+    """The band of length of a row by its n_chars."""
+    return sum(((F.col("n_chars") >= least).cast("int") for least in BANDS), F.lit(0))
+
+
+def thresholds(scored: DataFrame, quantile: float = QUANTILE) -> DataFrame:
+    """(lang, band, threshold) from trusted rows with lang, n_chars and perplexity.
+
+    A row without lang holds for all languages, one without band for all lengths. Only what
+    ``LEAST_TRUSTED`` rows or more stand behind has a row, and all together.
+    """
+    trusted = scored.filter("perplexity IS NOT NULL").select("lang", band().alias("band"), "perplexity")
+    found = trusted.cube("lang", "band").agg(
+        F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"), F.count("*").alias("n"),
+        F.grouping("lang").alias("any_lang"), F.grouping("band").alias("any_band"),
+    )
+    enough = (F.col("n") >= LEAST_TRUSTED) & (F.col("lang").isNotNull() | (F.col("any_lang") == 1))
+    return found.filter(enough | (F.col("any_lang") + F.col("any_band") == 2)).select("lang", "band", "threshold")
+
+
+def with_thresholds(scored: DataFrame, limits: DataFrame) -> DataFrame:
+    """``scored`` with the threshold of each row, null where nothing is trusted."""
+    # One row for each band and one for the rest.
+    general = {r["band"]: r["threshold"] for r in limits.filter("lang IS NULL").collect()}
+    shared = [F.when(F.col("band") == k, F.lit(v)) for k, v in general.items() if k is not None]
+    banded = limits.filter("lang IS NOT NULL AND band IS NOT NULL").withColumnRenamed("threshold", "banded")
+    whole = limits.filter("lang IS NOT NULL AND band IS NULL").select("lang", F.col("threshold").alias("whole"))
+    limit = F.coalesce("banded", *shared, "whole", F.lit(general.get(None)).cast("double")).alias("threshold")
+    rows = scored.withColumn("band", band()).join(banded, ["lang", "band"], "left").join(whole, "lang", "left")
+    return rows.select(*scored.columns, limit)

@@ -75,13 +75,10 @@ def kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = kneser_ney.train(kneser_ney.trusted_rows(docs, table(spark, sf_dir, "labels")))
     scored = settle(kneser_ney.score(docs, model, carry=("lang",)), "perplexities")
     limits = settle(kneser_ney.thresholds(scored.join(good, "doc_id", "left_semi")), "limits")
-    # One row for each language with enough trusted texts, and one for the rest.
-    general = limits.filter("lang IS NULL").first()["threshold"]
-    judged = scored.join(limits.filter("lang IS NOT NULL"), "lang", "left")
-    limit = F.coalesce("threshold", F.lit(general).cast("double"))
+    judged = kneser_ney.with_thresholds(scored, limits)
     return judged.select(
-        "doc_id", "lang", "n_chars", "log_prob", "perplexity", limit.alias("threshold"),
-        F.coalesce(F.col("perplexity") <= limit, F.lit(False)).alias("kept"),
+        "doc_id", "lang", "n_chars", "log_prob", "perplexity", "threshold",
+        F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(False)).alias("kept"),
     )
 
 

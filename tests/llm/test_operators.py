@@ -401,6 +401,23 @@ def test_kneser_ney(spark, tmp_path):
     assert kneser_ney.score(empty(spark), model).count() == 0
 
 
+def test_kneser_ney_thresholds(spark):
+    schema = "lang string, n_chars bigint, perplexity double"
+    trusted = [("en", 2000, 4 + k / 100) for k in range(100)] + [("en", 20, 9 + k / 100) for k in range(100)]
+    trusted += [("de", 2000, 3.0)] * 60 + [("de", 20, 2.0)] * 3 + [(None, 90_000, 1.0), ("fr", 0, None)]
+    limits = kneser_ney.thresholds(spark.createDataFrame(trusted, schema))
+    asked = [("en", 2000), ("en", 20), ("de", 1024), ("de", 20), ("de", 90_000), (None, 4095), ("fr", 63), ("fr", 300)]
+    rows = spark.createDataFrame([(*x, 5.5) for x in asked], schema)
+    got = {(r.lang, r.n_chars): r.threshold for r in kneser_ney.with_thresholds(rows, limits).collect()}
+    # Of its band and language; of its band; of its language; of all. No limit is above a trusted text.
+    assert got == {
+        ("en", 2000): 4.98, ("en", 20): 9.98, ("de", 1024): 3.0, ("de", 20): 9.98, ("de", 90_000): 3.0, (None, 4095): 4.98,
+        ("fr", 63): 9.98, ("fr", 300): 9.97,
+    }
+    none = kneser_ney.thresholds(spark.createDataFrame([], schema))
+    assert {r.threshold for r in kneser_ney.with_thresholds(rows, none).collect()} == {None}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body class="has-sidebar">
 <header><p>Site name, a long slogan that reads like text, really.</p></header><nav><ul><li><a href=/a>Home</a></li></ul></nav>
 <div class="cookie-notice"><p>We use cookies, as you know, and so on, for a better site.</p></div>
