@@ -4,8 +4,9 @@ Every text is the set of its runs of five words. Equal sets are one class and jo
 is embedded as minhash values; a node of the recursion picks two of them by its own hash, and each
 class goes to the child named by its value there, so two sets go the same way with the probability
 of their similarity. Nodes of at most ``SMALL`` classes are compared in full, larger ones are split
-again down to ``DEPTH``. A pair misses one run with a probability computed by ``missed``; ``runs``
-repeats until what is missed in all is below one minus the target recall.
+again down to ``DEPTH``. A pair misses one run with a probability computed by ``missed``; runs are
+repeated until what all of them and the comparison of sketches miss (``missed_in_all``) is below one
+minus the target recall.
 
 Nodes still large at the end are compared in blocks: every pair of blocks is a task of its own, so
 no group of near copies gathers in one place and none is cut off. Pairs never leave the task that
@@ -40,8 +41,9 @@ CHILDREN = 2
 DEPTH = 3
 SMALL = 96
 BLOCK = 256
-#: Sketches must agree this far below the threshold to be ruled out (over four standard errors).
+#: Sketches are ruled out from this far below the threshold, or farther where the recall asks for it.
 DOUBT = 0.2
+MOST_RUNS = 10_000
 
 _random = np.random.default_rng(20_011)
 _FACTORS = _random.integers(1, 1 << 62, WORDS, dtype=np.uint64) | np.uint64(1)
@@ -59,8 +61,30 @@ def missed(similar: float = SIMILAR, depth: int = DEPTH) -> float:
     return lost
 
 
+def agreeing(similar: float) -> list[float]:
+    """The probability of each number of equal sketch values, for a pair of this similarity."""
+    return [math.comb(SKETCH, k) * similar**k * (1 - similar) ** (SKETCH - k) for k in range(SKETCH + 1)]
+
+
+def least_agreeing(similar: float = SIMILAR, recall: float = RECALL) -> int:
+    """Equal sketch values from which a pair is compared; those with fewer are half of what may be missed at most."""
+    least, chances = max(0, math.ceil((similar - DOUBT) * SKETCH - 1e-9)), agreeing(similar)
+    while least and sum(chances[:least]) > (1 - recall) / 2:
+        least -= 1
+    return least
+
+
+def missed_in_all(runs: int, recall: float = RECALL, similar: float = SIMILAR) -> float:
+    """The probability that a pair of this similarity is not compared: all runs and the filter go by one sketch."""
+    least = least_agreeing(similar, recall)
+    return sum(p * (missed(k / SKETCH) ** runs if k >= least else 1) for k, p in enumerate(agreeing(similar)))
+
+
 def runs_needed(recall: float = RECALL, similar: float = SIMILAR) -> int:
-    return max(1, math.ceil(math.log(1 - recall) / math.log(missed(similar))))
+    for runs in range(1, MOST_RUNS + 1):
+        if missed_in_all(runs, recall, similar) <= 1 - recall:
+            return runs
+    raise ValueError(f"sketches of {SKETCH} values do not find pairs of similarity {similar} with a recall of {recall}")
 
 
 def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -174,16 +198,19 @@ def _comparable(group: list[dict], path: int, i: int, j: int) -> np.ndarray:
     return look
 
 
-def _likely(group: list[dict], path: int, i: int, j: int) -> Iterator[tuple]:
-    """Members with a partner whose sketch agrees well enough."""
-    look = _comparable(group, path, i, j)
-    if look.any():
-        sketch = np.stack([np.frombuffer(row["payload"], np.uint32) for row in group])
-        for a in np.flatnonzero(look.any(axis=1)):
-            look[a] &= (sketch == sketch[a]).mean(axis=1) >= SIMILAR - DOUBT
-        for a in np.flatnonzero(look.any(axis=0) | look.any(axis=1)):
-            row = group[a]
-            yield path, i, j, row["block"], row["class"], row["nodes"]
+def _likely(least: int):
+    def agree(group: list[dict], path: int, i: int, j: int) -> Iterator[tuple]:
+        """Members with a partner whose sketch has ``least`` equal values or more."""
+        look = _comparable(group, path, i, j)
+        if look.any():
+            sketch = np.stack([np.frombuffer(row["payload"], np.uint32) for row in group])
+            for a in np.flatnonzero(look.any(axis=1)):
+                look[a] &= (sketch == sketch[a]).sum(axis=1) >= least
+            for a in np.flatnonzero(look.any(axis=0) | look.any(axis=1)):
+                row = group[a]
+                yield path, i, j, row["block"], row["class"], row["nodes"]
+
+    return agree
 
 
 def _linked(similar: float):
@@ -301,7 +328,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
     place = [("path", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("block", pa.int32()), ("class", pa.int64())]
     likely = _in_nodes(_blocked(spread)).mapInArrow(
-        _by_node(_likely, [*place, ("nodes", pa.list_(pa.int64()))]),
+        _by_node(_likely(least_agreeing(similar, recall)), [*place, ("nodes", pa.list_(pa.int64()))]),
         "path bigint, i int, j int, block int, class bigint, nodes array<bigint>",
     )
     likely = settle(likely, "likely")

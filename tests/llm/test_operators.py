@@ -246,6 +246,25 @@ def test_jaccard_join(spark, odd_rows, monkeypatch):
     assert jaccard_join.near_groups(empty(spark)).count() == 0
 
 
+def test_jaccard_join_below_the_default(spark):
+    # Pairs share 100 of 196 runs of five words, just above a half; no two pairs share one.
+    rows = []
+    for g in range(60):
+        words = [f"g{g}w{k}" for k in range(104)]
+        rows += [(2 * g + c, " ".join([*words, *(f"g{g}c{c}w{k}" for k in range(48))]), "en") for c in range(2)]
+    got = jaccard_join.near_groups(table(spark, rows), similar=0.5).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter((k, k - k % 2, 1) for k in range(120))
+    assert not any(r.n_links for r in jaccard_join.near_groups(table(spark, rows)).collect())
+
+
+def test_all_that_the_sketch_misses_counts():
+    for similar in (0.3, 0.5, 0.6, 0.8, 0.95):
+        runs = jaccard_join.runs_needed(similar=similar)
+        assert jaccard_join.missed_in_all(runs, similar=similar) <= 1 - jaccard_join.RECALL
+        assert sum(jaccard_join.agreeing(similar)[: jaccard_join.least_agreeing(similar)]) < 1 - jaccard_join.RECALL
+    assert (jaccard_join.runs_needed(), jaccard_join.least_agreeing()) == (3, 39)
+
+
 def test_runs_reach_the_recall():
     assert jaccard_join.missed() ** jaccard_join.runs_needed() <= 1 - jaccard_join.RECALL
 
