@@ -257,6 +257,19 @@ def test_jaccard_join_below_the_default(spark):
     assert not any(r.n_links for r in jaccard_join.near_groups(table(spark, rows)).collect())
 
 
+def test_short_texts_alike_in_half_a_hash(spark):
+    texts = [f"short text {k}" for k in range(200_000)]
+    runs, _ = jaccard_join.shingles([t.encode() for t in texts])
+    assert len(runs) == len(texts) == len(np.unique(runs))
+    upper, counts = np.unique(runs >> np.uint64(32), return_counts=True)
+    alike = np.flatnonzero(np.isin(runs >> np.uint64(32), upper[counts > 1]))
+    assert len(alike) >= 2
+    rows = [(int(k), texts[k], "en") for k in alike]
+    got = jaccard_join.near_groups(table(spark, rows)).collect()
+    assert all(r.doc_id == r.class_id == r.set_id and r.stays and not r.n_links for r in got)
+    assert jaccard_join.without_near_copies(table(spark, rows)).count() == len(rows)
+
+
 def test_all_that_the_sketch_misses_counts():
     for similar in (0.3, 0.5, 0.6, 0.8, 0.95):
         runs = jaccard_join.runs_needed(similar=similar)
