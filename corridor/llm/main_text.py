@@ -4,8 +4,9 @@ The page becomes a tree (end tags that browsers imply are implied here too). Scr
 forms, menus, page headers and footers, sidebars, notices, adverts and reader comments are cut by
 tag, role and the words of class and id. Every paragraph then passes points for its length and its
 commas to its ancestors, less the farther they are; an element's points are discounted by the share
-of its text that stands in links. The best container is kept, widened to the article it lies in,
-with those siblings that score well or read like text. Its blocks are joined in page order.
+of its text that stands in links. The best container is kept whole, widened to the article or main
+part it lies in; without one, with those siblings and bare texts beside it that are not mostly links,
+less their link lists. Its blocks are joined in page order.
 
 Null and empty pages, and pages without text, give an empty string. Pages are handled one by one.
 """
@@ -23,7 +24,7 @@ from corridor.llm.text import text_groups
 
 #: Names of elements and words of class and id with these meanings. Fixed values.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea template noscript iframe svg math object xmp".split())
+RAW = set("script style title textarea template noscript iframe svg object xmp".split())
 BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -34,9 +35,11 @@ ENDS_ITSELF = {
     "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "body": {"head"},
 }
 SCOPE = set("table td th caption ul ol dl body html".split())
-CUT_TAGS = set("head nav aside footer form button select dialog menu script style noscript template iframe svg object canvas audio video map".split())
+CUT_TAGS = set("head nav aside footer form button select dialog menu script style noscript template iframe svg object canvas audio video map annotation annotation-xml".split())
 CUT_ROLES = set("navigation banner contentinfo complementary dialog alertdialog alert search menu menubar toolbar".split())
 COMMENT_WORDS = set("comment comments commentlist disqus respond replies discussion".split())
+#: With these a name of comments tells of a text whether it may have some.
+STATE_WORDS = set("open opened closed on off enabled disabled allowed status no has with without".split())
 CUT_WORDS = COMMENT_WORDS | set(
     "ad ads adv advert adverts advertisement advertising adsense adslot sponsor sponsored promo promoted promotion banner "
     "breadcrumb breadcrumbs menu navbar navigation nav pager pagination sidebar aside rail widget widgets footer "
@@ -109,7 +112,23 @@ def parse(page: str) -> Element:
     return root
 
 
-def unwanted(element: Element, in_article: bool) -> bool:
+def named_comments(element: Element) -> bool:
+    """Whether class or id call an element comments, not a text open to comments."""
+    for name, *values in _ATTRIBUTE.findall(element.attributes):
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).split():
+                words = {w.lower() for w in _WORDS.findall(token)}
+                if words & COMMENT_WORDS and not words & STATE_WORDS:
+                    return True
+    return False
+
+
+def is_main(element: Element) -> bool:
+    return element.tag == "main" or element.tag == "article" and not named_comments(element)
+
+
+def unwanted(element: Element, in_article: bool, mains: int = 0) -> bool:
+    """``mains`` is how many articles and main parts the page has, comments aside."""
     if element.tag in CUT_TAGS or element.tag == "header" and not in_article:
         return True
     if not element.attributes or element.tag in ("html", "body"):
@@ -125,9 +144,10 @@ def unwanted(element: Element, in_article: bool) -> bool:
             return True
         if name in ("class", "id"):
             words |= {w.lower() for w in _WORDS.findall(value)}
-    if words & COMMENT_WORDS:
-        return True
-    if element.tag in ("main", "article") or not (words & CUT_WORDS or words & HEADER_WORDS and not in_article):
+    if words & COMMENT_WORDS and element.tag != "main" and named_comments(element):
+        inside = [child.tag for child in below(element) if is_main(child)]
+        return "main" not in inside and (not inside or len(inside) < mains)
+    if element.tag in ("main", "article") or not (words & CUT_WORDS - COMMENT_WORDS or words & HEADER_WORDS and not in_article):
         return False
     return not any(child.tag in ("main", "article") for child in below(element))
 
@@ -142,6 +162,7 @@ def below(element: Element) -> Iterator[Element]:
 
 
 def prune(root: Element) -> None:
+    mains = sum(is_main(element) for element in below(root))
     waiting = [(root, False)]
     while waiting:
         element, in_article = waiting.pop()
@@ -149,7 +170,7 @@ def prune(root: Element) -> None:
         kept = []
         for child in element.children:
             if isinstance(child, Element):
-                if unwanted(child, in_article):
+                if unwanted(child, in_article, mains):
                     continue
                 waiting.append((child, in_article))
             kept.append(child)
@@ -221,30 +242,44 @@ def main_text(page: str | None) -> str:
     if not root.chars:
         return ""
     everything = [root, *below(root)]
-    for element in [e for e in everything if is_link_list(e)]:
-        if element.parent is not None:
-            element.parent.children = [c for c in element.parent.children if c is not element]
     worth = lambda e: e.points * (1 - e.linked / e.chars) if e.chars else 0.0
     best = max(everything, key=worth)
     up = best
-    while up is not None and up.tag != "article":
+    while up is not None and up.tag not in ("article", "main"):
         up = up.parent
-    if up is not None:
-        kept = [up]
-    else:
-        least, kept = max(10.0, 0.2 * worth(best)), []
-        for child in best.parent.children if best.parent else [best]:
-            if child is best or isinstance(child, Element) and reads_like_text(child, worth(child) >= least):
-                kept.append(child)
-    return "\n\n".join(text for element in kept for _, text, _ in blocks(element))
-
-
-def reads_like_text(element: Element, scores_well: bool) -> bool:
-    """Whether a sibling of the best container belongs to it."""
-    if not element.chars:
-        return False
-    density = element.linked / element.chars
-    return density < 0.5 and (scores_well or element.tag in HEADINGS or element.tag in ("p", "pre", "blockquote") and density < 0.25)
+    if up is None:
+        up = with_siblings(best)
+    return "\n\n".join(text for _, text, _ in blocks(up))
+
+
+def with_siblings(best: Element) -> Element:
+    """The best container with what stands beside it and is not mostly links."""
+    if best.parent is None:
+        return best
+    whole, run = Element("div", "", None), []
+
+    def add_run() -> None:
+        # Bare text and inline elements between blocks are one text.
+        alone = Element("div", "", None)
+        alone.children = list(run)
+        found = [(len(text), linked) for _, text, linked in blocks(alone)]
+        if sum(linked for _, linked in found) < 0.5 * sum(n for n, _ in found):
+            whole.children += run
+        run.clear()
+
+    for child in best.parent.children:
+        if child is not best and (isinstance(child, str) or child.tag not in BLOCK):
+            run.append(child)
+            continue
+        add_run()
+        if child is best:
+            whole.children.append(child)
+        elif child.chars and child.linked < 0.5 * child.chars:
+            for element in [e for e in below(child) if is_link_list(e)]:
+                element.parent.children = [c for c in element.parent.children if c is not element]
+            whole.children.append(child)
+    add_run()
+    return whole
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", html_column: str = "html", carry: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -474,6 +474,28 @@ def test_main_text(body, text):
     assert main_text.main_text(PAGE % body) == text
 
 
+LONG = ("A long sentence, of many words, with commas, that goes on, and on, until it is long. " * 4).strip()
+LINKS = "<ul><li><a href=/1>First source</a><li><a href=/2>Second source</a><li><a href=/3>Third source</a></ul>"
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f"<main><section><p>{LONG}</p><p>{LONG}</p></section><section><p>short end</p></section></main>", [LONG, LONG, "short end"]),
+        (f"<div><section><p>{LONG}</p><p>{LONG}</p></section>bare <b>text</b><section><div>short end</div></section>{LINKS}<a href=/m>More</a></div>",
+         [LONG, LONG, "bare text", "short end"]),
+        (f"<article><p>{LONG}</p>{LINKS}</article>", [LONG, "First source", "Second source", "Third source"]),
+        (f"<article><p>{LONG}</p><p>Then <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x = 1</annotation></math> holds.</p></article>",
+         [LONG, "Then x=1 holds."]),
+        (f"<article class='post comments-open'><p>{LONG}</p></article>", [LONG]),
+        (f"<div class='with-replies discussion'><article><p>{LONG}</p></article></div>", [LONG]),
+        (f"<article><p>{LONG}</p></article><div class=replies><article><p>{LONG} {LONG}</p></article></div>", [LONG]),
+    ],
+)
+def test_main_text_is_whole(body, text):
+    assert main_text.main_text(PAGE % body) == "\n\n".join(text)
+
+
 def test_pages(spark):
     rows = [(1, "u", None, "x"), (2, "u", "", "x"), (3, None, "<p>" * 3000 + "deep", "x"), (3, None, "<div>" * 3000 + "deep, text", "x"), (4, "u", "no <markup", "x"), (5, "u", "<!-- open", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
