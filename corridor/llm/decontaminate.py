@@ -168,11 +168,14 @@ def _finder(items: list[tuple[str, np.ndarray]], window: int):
     return find
 
 
+def block_count(items: DataFrame, text_column: str, most: int) -> int:
+    total = items.agg(F.sum(F.length(F.col(text_column).cast("binary")))).first()[0] or 0
+    return max(1, math.ceil(total / most))
+
+
 def phrase_blocks(items: DataFrame, id_column: str, text_column: str, most: int) -> Iterator[list[tuple[str, np.ndarray]]]:
     """(id as text, word hashes) of items that have words, in blocks of about ``most`` bytes, each brought in by itself."""
-    size = F.length(F.col(text_column).cast("binary"))
-    total = items.agg(F.sum(size)).first()[0] or 0
-    blocks = max(1, math.ceil(total / most))
+    blocks = block_count(items, text_column, most)
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64(text_column), F.lit(blocks)) == k) if blocks > 1 else items
         rows = part.select(F.col(id_column).cast("string"), text_column).collect()
@@ -187,20 +190,18 @@ def find_phrases(index: DataFrame, items: DataFrame, id_column: str = "item_id",
     doc_id, n_words, spans (begin and end in words, disjoint, ascending), items (ids as text,
     ascending). An item of fewer words, but not none, is one window. Rows of one id are one item.
     """
-    results = [
-        index.mapInArrow(_finder(block, window), FOUND_SCHEMA)
-        for block in phrase_blocks(items, id_column, text_column, most)
-    ]
-    found = results[0]
-    if len(results) > 1:
-        for more in results[1:]:
-            found = found.union(more)
-        found = found.groupBy("segment", "doc").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
-            F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        )
-    return found
+    blocks = phrase_blocks(items, id_column, text_column, most)
+    if block_count(items, text_column, most) == 1:
+        return index.mapInArrow(_finder(next(blocks), window), FOUND_SCHEMA)
+    found = index.mapInArrow(_finder([], window), FOUND_SCHEMA)
+    # Each block's matches are written before the next block is fetched.
+    for block in blocks:
+        found = found.union(settle(index.mapInArrow(_finder(block, window), FOUND_SCHEMA).filter("size(items) > 0"), "matches"))
+    return found.groupBy("segment", "doc").agg(
+        F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
 
 
 def covered_words(spans: str) -> str:
@@ -212,10 +213,13 @@ def covered_words(spans: str) -> str:
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items, spans, contaminated (a twentieth of its words hit, or more)."""
-    blocks = [np.concatenate([h for _, h in b] or [np.zeros(0, np.uint64)]) for b in phrase_blocks(benchmark, "item_id", "text", BLOCK_BYTES)]
+    vocabulary = None
     # With one block its vocabulary is bounded by BLOCK_BYTES; else all words are indexed.
-    index = build_index(docs, blocks[0] if len(blocks) == 1 else None, id_column, text_column)
-    hit = find_phrases(index, benchmark).withColumn("n_hit", F.expr(covered_words("spans")))
+    if block_count(benchmark, "text", BLOCK_BYTES) == 1:
+        block = next(phrase_blocks(benchmark, "item_id", "text", BLOCK_BYTES))
+        vocabulary = np.concatenate([h for _, h in block] or [np.zeros(0, np.uint64)])
+    index = build_index(docs, vocabulary, id_column, text_column)
+    hit = find_phrases(index, benchmark, most=BLOCK_BYTES).withColumn("n_hit", F.expr(covered_words("spans")))
     return hit.select(
         F.col("doc_id"), F.col("n_words"), F.col("n_hit"), F.size("items").cast("long").alias("n_items"), "items", "spans",
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
@@ -259,8 +263,11 @@ def find_near(index: DataFrame, items: DataFrame, within: int, id_column: str =
 
         return find
 
-    results = [index.mapInArrow(finder(b), NEAR_SCHEMA) for b in phrase_blocks(items, id_column, text_column, most)]
-    found = results[0]
-    for more in results[1:]:
-        found = found.union(more)
+    blocks = phrase_blocks(items, id_column, text_column, most)
+    if block_count(items, text_column, most) == 1:
+        return index.mapInArrow(finder(next(blocks)), NEAR_SCHEMA)
+    found = None
+    for block in blocks:
+        near = settle(index.mapInArrow(finder(block), NEAR_SCHEMA), "near")
+        found = near if found is None else found.union(near)
     return found

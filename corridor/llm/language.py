@@ -113,21 +113,29 @@ def document_frequencies(docs: DataFrame, text_column: str = "text") -> tuple[np
     return total[:DIMENSIONS], int(total[DIMENSIONS])
 
 
+def draw(rows: DataFrame, id_column: str, text_column: str, lang_column: str, most_rows: int) -> DataFrame:
+    """About ``most_rows`` rows of each language, by a hash of id and text; rows alike in both count once."""
+    # Languages are few; a sample by hash needs no ranking of a language in one task.
+    key = F.xxhash64(id_column, text_column, F.lit("language"))
+    counts = {r[0]: r[1] for r in rows.groupBy(lang_column).agg(F.approx_count_distinct(key, 0.02)).collect()}
+    share = F.lit(0.0)
+    for name, count in counts.items():
+        share = F.when(F.col(lang_column) == name, min(1.0, most_rows / max(count, 1))).otherwise(share)
+    columns = [id_column, text_column, lang_column]
+    drawn = rows.select(*columns, (F.pmod(key, F.lit(10**15)) / 1e15).alias("draw")).filter(F.col("draw") < share)
+    return drawn.select(*columns).dropDuplicates()
+
+
 def learn(rows: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
           most_rows: int = MOST_ROWS, centroids: int = CENTROIDS) -> Centroids:
     """Fit on rows with text and language; rows without either are left out."""
     rows = rows.filter(F.col(text_column).isNotNull() & F.col(lang_column).isNotNull())
     frequency, n = document_frequencies(rows, text_column)
     weight = np.log((1 + n) / (1 + frequency)).astype(np.float32) + 1
-    # Languages are few; a sample by hash takes about most_rows of each without ranking a language in one task.
-    counts = {r[0]: r[1] for r in rows.groupBy(lang_column).count().collect()}
-    draw = (F.pmod(F.xxhash64(id_column, F.lit("language")), F.lit(1_000_000)) / 1e6).alias("draw")
-    share = F.lit(0.0)
-    for name, count in counts.items():
-        share = F.when(F.col(lang_column) == name, min(1.0, most_rows / count)).otherwise(share)
-    sample = rows.select(id_column, text_column, lang_column, draw).filter(F.col("draw") < share).collect()
+    languages = sorted(r[0] for r in rows.select(lang_column).distinct().collect())
+    sample = draw(rows, id_column, text_column, lang_column, most_rows).collect()
     sample = sorted(sample, key=lambda r: (r[2], r[0] is None, r[0], r[1]))
-    languages, centers, owner, floor = sorted(counts), [], [], {}
+    centers, owner, floor = [], [], {}
     for number, name in enumerate(languages):
         vectors = np.stack([np.log1p(grams(r[1])) * weight for r in sample if r[2] == name] or [np.zeros(DIMENSIONS, np.float32)])
         vectors = scaled(vectors[vectors.any(axis=1)])

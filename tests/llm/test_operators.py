@@ -321,6 +321,32 @@ def test_decontamination(spark, odd_rows):
     assert decontaminate.contamination(table(spark, rows), benchmark.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_benchmark_blocks_are_settled_one_by_one(spark, monkeypatch):
+    rows = [(k, prose(k, 40), "en") for k in range(30)] + [(None, None, None)]
+    benchmark = spark.createDataFrame([(k, rows[k][1][20:150]) for k in range(8)], "item_id bigint, text string")
+    whole = sorted(map(str, decontaminate.contamination(table(spark, rows), benchmark).drop("segment", "doc").collect()))
+    events, fetch, settle = [], decontaminate.phrase_blocks, decontaminate.settle
+
+    def fetched(*args):
+        for block in fetch(*args):
+            events.append("fetch")
+            yield block
+
+    monkeypatch.setattr(decontaminate, "phrase_blocks", fetched)
+    monkeypatch.setattr(decontaminate, "settle", lambda *args: (events.append("settle"), settle(*args))[1])
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 250)
+    got = decontaminate.contamination(table(spark, rows), benchmark).drop("segment", "doc")
+    assert events.count("fetch") > 2 and ("fetch", "fetch") not in itertools.pairwise(events)
+    assert sorted(map(str, got.collect())) == whole
+
+
+def test_language_sample(spark):
+    rows = [(None, f"unnamed text {k}", "aa") for k in range(3000)] + [(7, f"text {k} of one id", "bb") for k in range(3000)]
+    rows += [(8, "the same text", "cc")] * 3000 + [(k, f"text {k}", "dd") for k in range(20)]
+    got = Counter(r.lang for r in language.draw(table(spark, rows), "doc_id", "text", "lang", 100).collect())
+    assert 60 < got["aa"] < 150 and 60 < got["bb"] < 150 and got["cc"] == 1 and got["dd"] == 20
+
+
 def test_near_words(spark):
     rows = [(1, "alpha one two beta", None), (2, "alpha one two three four five beta", None), (3, "beta alpha", None), (4, None, None)]
     items = spark.createDataFrame([(7, "alpha beta")], "item_id bigint, text string")
