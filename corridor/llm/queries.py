@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from corridor.llm import (
     content_sort,
     decontaminate,
+    hard_negatives,
     jaccard_join,
     kneser_ney,
     language,
     main_text,
     packing,
     prefix_counts,
+    prefix_trie,
     token_shards,
     toxicity,
+    winnowing,
 )
 from corridor.session import settle
 from corridor.workload.registry import query
@@ -174,3 +177,102 @@ def positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query(
+    "op11_conversation_prefix_trie",
+    """
+    WITH turns AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+      FROM conversations WHERE conv_id IS NOT NULL
+    ), convs AS (
+      SELECT conv_id, conv_id - conv_id % 20 AS source,
+             -- crc32 of the decimal id, bit by bit; its last two bits are those of h
+             xor(list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT),
+                            list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda state, byte: list_reduce(
+                 list_prepend(xor(state, byte), CAST(range(8) AS BIGINT[])),
+                 lambda bits, step: CASE WHEN bits % 2 = 1 THEN xor(bits >> 1, CAST(3988292384 AS BIGINT)) ELSE bits >> 1 END)
+             ), CAST(4294967295 AS BIGINT)) % 4 AS h
+      FROM (SELECT DISTINCT conv_id FROM turns)
+    ), rebuilt AS (
+      SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth, role, text
+      FROM (
+        SELECT c.conv_id, 0 AS own, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.source WHERE t.place <= c.h
+        UNION ALL
+        SELECT c.conv_id, 1, t.place, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id WHERE t.place > c.h
+      )
+    ), opened AS (
+      SELECT conv_id, depth, text, list(struct_pack(role := role, text := text)) OVER (
+        PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS path
+      FROM rebuilt
+      UNION ALL SELECT conv_id, 0, '', [] FROM convs
+    ), members AS (
+      SELECT conv_id, depth, text, min(conv_id) OVER w AS node, count(*) OVER w AS n_convs,
+             depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+      FROM opened WINDOW w AS (PARTITION BY depth, path)
+    ), nodes AS (
+      SELECT node, depth, max(n_convs) AS n_convs,
+             (max(n_convs) - 1) * len(regexp_extract_all(any_value(text), '[^\\x20\\x09-\\x0D]+')) AS saved,
+             coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends
+      FROM members GROUP BY node, depth
+    ), linked AS (
+      SELECT n.*, p.node AS parent, count(k.depth) OVER (PARTITION BY n.node, n.depth) AS n_children
+      FROM nodes n
+      LEFT JOIN members p ON p.conv_id = n.node AND p.depth = n.depth - 1
+      LEFT JOIN (SELECT DISTINCT m.node, m.depth, c.node AS child FROM members m
+                 JOIN members c ON c.conv_id = m.conv_id AND c.depth = m.depth + 1) k ON k.node = n.node AND k.depth = n.depth
+    ), plain AS (SELECT DISTINCT node, depth, n_convs, saved, ends, parent, n_children FROM linked),
+    below AS (  -- a node lies below all nodes on the path of its smallest conversation
+      SELECT a.node, a.depth, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(u.saved) AS saved
+      FROM plain u JOIN members a ON a.conv_id = u.node AND a.depth <= u.depth
+      GROUP BY a.node, a.depth
+    )
+    SELECT n.node AS conv_id, n.depth, n.parent AS parent_conv_id, n.n_convs, n.n_children,
+           CAST(b.n_leaves AS BIGINT) AS n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+    FROM plain n JOIN below b ON b.node = n.node AND b.depth = n.depth
+    """,
+)
+def conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, sizes = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.opening_trie(*prefix_trie.with_shared_openings(turns, sizes))
+    return nodes.drop("enter", "exit")
+
+
+@query(
+    "op12_hard_negatives",
+    """
+    WITH vectors AS (
+      SELECT row_number() OVER () AS row_no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT a.row_no AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+      FROM vectors a JOIN vectors b ON a.row_no <> b.row_no
+      WHERE a.vec_id % 100 = 0
+    ), positives AS (
+      SELECT anchor, anchor_id, id, score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS place
+      FROM scored WHERE same QUALIFY place <= 5
+    )
+    SELECT p.anchor_id, p.id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor, p.place ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+           n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.same
+      AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+    QUALIFY rank <= 5
+    """,
+)
+def mined_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(moved, F.col("id") % 100 == 0).drop("positive_rank")
+
+
+@query("op13_winnowing_fingerprints")
+def winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared_with_edits(table(spark, sf_dir, "documents"))

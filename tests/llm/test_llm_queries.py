@@ -20,10 +20,10 @@ def keys():
 
 
 def test_every_operator_has_a_query():
-    assert {k[2:].split("_")[0] for k in keys()} == {str(n) for n in range(1, 11)} and "pipeline" in contract.queries()
+    assert {k[2:].split("_")[0] for k in keys()} == {str(n) for n in range(1, 14)} and "pipeline" in contract.queries()
 
 
-@pytest.mark.parametrize("key", keys())
+@pytest.mark.parametrize("key", [k for k in keys() if k[:4] not in ("op11", "op12")])
 def test_rows(spark, key):
     name = "pages" if key.startswith("op6") else "documents"
     want = duckdb.sql(f"SELECT count(*) FROM '{SF_DIR}/{name}.parquet'").fetchall()[0][0]
