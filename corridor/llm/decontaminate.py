@@ -123,27 +123,46 @@ class Segment:
         return anchors[stays]
 
 
+class Windows:
+    """All windows of a block of items side by side, to be met with a segment at once."""
+
+    def __init__(self, items: list[tuple[str, np.ndarray]], window: int):
+        lengths = np.array([len(h) for _, h in items], dtype=np.int64)
+        self.names = [name for name, _ in items]
+        self.hashes = np.concatenate([h for _, h in items]) if items else np.zeros(0, np.uint64)
+        # the words of all items, each once, and where every word of every item stands among them
+        self.terms, self.place = np.unique(self.hashes, return_inverse=True)
+        counts = np.maximum(lengths - window, 0) + 1
+        self.item = np.repeat(np.arange(len(items)), counts)
+        within = np.arange(len(self.item)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.begin = np.repeat(np.cumsum(lengths) - lengths, counts) + within
+        self.size = np.repeat(np.minimum(lengths, window), counts)
+
+    def whole(self, segment: Segment) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The windows all of whose words the segment holds, and the places and counts of all items' words."""
+        places = segment.places(self.terms)[self.place]
+        counts = segment.counts(places)
+        missing = np.r_[0, np.cumsum(counts == 0)]
+        return np.flatnonzero(missing[self.begin + self.size] == missing[self.begin]), places, counts
+
+
 def _finder(items: list[tuple[str, np.ndarray]], window: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = Windows(items, window)
         for batch in batches:
             for row in batch.to_pylist():
                 segment = Segment(row)
                 step = np.zeros(int(segment.begins[-1]) + window + 2, dtype=np.int64)
-                found: list[list[str]] = [[] for _ in segment.doc_ids]
-                for name, hashes in items:
-                    places = segment.places(hashes)
-                    counts, size = segment.counts(places), min(window, len(hashes))
-                    rarest = np.lib.stride_tricks.sliding_window_view(counts, size).min(axis=1)
-                    hit = []
-                    for k in np.flatnonzero(rarest):
-                        begins = segment.phrase(places[k : k + size], counts[k : k + size])
-                        if len(begins):
-                            step[begins] += 1  # the begins of one window differ
-                            step[begins + size] -= 1
-                            hit.append(begins)
-                    if hit:
-                        for d in np.unique(np.searchsorted(segment.begins, np.concatenate(hit), side="right") - 1):
-                            found[d].append(name)
+                found: list[set[str]] = [set() for _ in segment.doc_ids]
+                held, places, counts = asked.whole(segment)
+                for w in held:
+                    b, size = asked.begin[w], asked.size[w]
+                    begins = segment.phrase(places[b : b + size], counts[b : b + size])
+                    if len(begins):
+                        step[begins] += 1  # the begins of one window differ
+                        step[begins + size] -= 1
+                        for d in np.unique(np.searchsorted(segment.begins, begins, side="right") - 1):
+                            found[d].add(asked.names[asked.item[w]])
                 covered = np.r_[False, np.cumsum(step) > 0, False]
                 edges = np.flatnonzero(covered[1:] != covered[:-1]).reshape(-1, 2)
                 at = np.searchsorted(segment.begins, edges[:, 0], side="right") - 1
@@ -160,7 +179,7 @@ def _finder(items: list[tuple[str, np.ndarray]], window: int):
                         pa.array(segment.doc_ids, pa.int64()),
                         pa.array(np.diff(segment.begins).astype(np.int64) - 1),
                         pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
-                        pa.array([sorted(set(x)) for x in found], pa.list_(pa.string())),
+                        pa.array([sorted(x) for x in found], pa.list_(pa.string())),
                     ],
                     names=["segment", "doc", "doc_id", "n_words", "spans", "items"],
                 )

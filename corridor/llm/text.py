@@ -12,6 +12,9 @@ import pyarrow.compute as pc
 WORD_BYTES = np.zeros(256, dtype=bool)
 WORD_BYTES[0x30:0x3A] = WORD_BYTES[0x61:0x7B] = WORD_BYTES[0x80:] = True
 
+#: Bytes whose words are hashed at once.
+SLICE = 512 << 10
+
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = np.ones(1, dtype=np.uint64)
 
@@ -60,16 +63,37 @@ def words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words in order, and where each text's words begin (one more entry than texts).
 
     A-Z are lower-cased; a word is a run of ``WORD_BYTES``. Texts without words get an empty range.
+    Bytes are taken in slices of ``SLICE``, whatever the texts' lengths: what is held besides the texts
+    and the hashes does not grow with them. A word that goes on in the next slice keeps its sum.
     """
-    buffer = np.frombuffer(b"\x00".join(texts).lower() + b"\x00", dtype=np.uint8)
-    at = np.flatnonzero(WORD_BYTES[buffer])
-    begins = np.r_[0, np.cumsum([len(x) + 1 for x in texts])].astype(np.int64)
-    if not len(at):
-        return np.zeros(0, dtype=np.uint64), np.zeros(len(texts) + 1, dtype=np.int64)
-    first = np.flatnonzero(np.r_[True, np.diff(at) > 1])
-    lengths = np.diff(np.r_[first, len(at)])
-    offset = np.arange(len(at)) - np.repeat(first, lengths)
+    whole = b"\x00".join(texts).lower() + b"\x00"
+    hashes, starts = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    open_sum, open_length, open_start = 0, 0, 0
     with np.errstate(over="ignore"):
-        terms = (buffer[at].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[offset]
-        hashes = mixed(np.add.reduceat(terms, first) + lengths.astype(np.uint64))
-    return hashes, np.searchsorted(at[first], begins)
+        for begin in range(0, len(whole), SLICE):
+            buffer = np.frombuffer(whole, dtype=np.uint8, count=min(SLICE, len(whole) - begin), offset=begin)
+            at = np.flatnonzero(WORD_BYTES[buffer])
+            first = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+            lengths = np.diff(first, append=len(at))
+            sums = np.zeros(0, dtype=np.uint64)
+            if len(at):
+                offset = np.arange(len(at)) - np.repeat(first, lengths)
+                terms = (buffer[at].astype(np.uint64) + np.uint64(1)) * powers(int(lengths.max()))[offset]
+                sums = np.add.reduceat(terms, first)
+            places = at[first] + begin
+            if open_length and len(at) and at[0] == 0:
+                sums[0] = np.uint64((open_sum + pow(_BASE, open_length, 1 << 64) * int(sums[0])) % (1 << 64))
+                lengths[0] += open_length
+                places[0] = open_start
+            elif open_length:
+                sums, lengths = np.r_[np.uint64(open_sum), sums], np.r_[open_length, lengths]
+                places = np.r_[open_start, places]
+            open_length = 0
+            # the last byte of all ends any word, so nothing stays open at the end
+            if len(at) and at[-1] == len(buffer) - 1:
+                open_sum, open_length, open_start = int(sums[-1]), int(lengths[-1]), int(places[-1])
+                sums, lengths, places = sums[:-1], lengths[:-1], places[:-1]
+            hashes.append(mixed(sums + lengths.astype(np.uint64)))
+            starts.append(places)
+    begins = np.r_[0, np.cumsum([len(x) + 1 for x in texts])].astype(np.int64)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts), begins)
