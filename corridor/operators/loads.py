@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from functools import reduce
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -12,11 +13,13 @@ from pyspark.sql import functions as F
 from corridor.operators.setops import except_distinct
 from corridor.session import settle
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
 
 def replace_table(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Create the table from ``df``, replacing one that exists.
 
-    The new rows are written beside the old table first: if that fails, the old table stays.
+    The new rows are computed beside the old table first; if that or what follows fails, the old rows stay.
     """
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
@@ -31,13 +34,39 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def _publish(df: DataFrame, table: str, partition_by: list[str] | None) -> DataFrame:
-    """Compute ``df`` in full beside the table, then let it take the table's place."""
+    """Compute ``df`` in full beside the table, then let it take the table's place.
+
+    A failure at any point leaves the old table's rows. Without partitions the new table takes the old
+    one's name. Partitioned tables are not renamed, since a catalog may go on naming partition folders
+    from before: partitions are overwritten by one job, which takes effect as a whole, and those that
+    are no more are dropped after it. A table whose columns or partitions change is written anew and,
+    should that fail, again from a copy of its rows.
+    """
     spark = df.sparkSession
-    if partition_by:
-        # Catalogs may go on naming partition folders from before a renaming, so a partitioned
-        # table is copied from its stored rows instead; only that copy can still fail.
-        _writer(settle(df, "published"), partition_by).mode("overwrite").saveAsTable(table)
+    held = partition_columns(spark, table)
+    if not held and not partition_by:
+        return _take_name(df, table)
+    staged = settle(df, "published")
+    old = spark.table(table)
+    same = [(f.name, f.dataType) for f in old.schema] == [(f.name, f.dataType) for f in staged.schema]
+    plain = all(old.schema[name].dataType.simpleString() in ("date", "int", "bigint", "string") for name in held)
+    if same and plain and held == partition_by and _own_partitions(spark, table) == held:
+        _overwrite_partitions(staged, table)
+        _drop_partitions_without_rows(staged, table, held)
         return spark.table(table)
+    copy = settle(old, "kept")
+    try:
+        _writer(staged, partition_by).mode("overwrite").saveAsTable(table)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        _writer(copy, held).mode("overwrite").saveAsTable(table)
+        raise
+    return spark.table(table)
+
+
+def _take_name(df: DataFrame, table: str) -> DataFrame:
+    """Write ``df`` as an unpartitioned table beside the old one, which it then replaces by renaming."""
+    spark = df.sparkSession
     mark = uuid4().hex
     new, old = f"{table}_new_{mark}", f"{table}_old_{mark}"
     _writer(df, None).saveAsTable(new)
@@ -51,6 +80,30 @@ def _publish(df: DataFrame, table: str, partition_by: list[str] | None) -> DataF
     return spark.table(table)
 
 
+def _literal(value: str) -> str:
+    """A partition's value in SQL."""
+    if value == NO_VALUE:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _drop_partitions_without_rows(rows: DataFrame, table: str, columns: list[str]) -> None:
+    """Drop the table's partitions that ``rows`` has no rows for; both lists are as long as the partitions."""
+    spark = rows.sparkSession
+    values = rows.select(*(F.coalesce(F.col(c).cast("string"), F.lit(NO_VALUE)) for c in columns)).distinct().collect()
+    filled = {tuple(row) for row in values}
+    for (shown,) in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        parts = [unquote(part.split("=", 1)[1]) for part in shown.split("/")]
+        # an empty text is stored as no value
+        if tuple(parts) in filled or (NO_VALUE in parts and any("" in row for row in filled)):
+            continue
+        spec = ", ".join(f"{c}={_literal(v)}" for c, v in zip(columns, parts, strict=True))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
 def create_if_absent(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
     """Create the table from ``df``; leave one that exists alone."""
     _writer(df, partition_by).mode("ignore").saveAsTable(table)
@@ -59,10 +112,31 @@ def create_if_absent(df: DataFrame, table: str, partition_by: list[str] | None =
 
 def _writer(df: DataFrame, partition_by: list[str] | None):
     writer = df.write.format("parquet")
-    if partition_by:
-        # kept as a table option, so later inserts overwrite only their own partitions
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    return writer
+    return writer.partitionBy(*partition_by) if partition_by else writer
+
+
+def _overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions that ``df`` has rows for, and no others.
+
+    Which partitions an overwrite empties is the session's setting unless the table names its own:
+    the setting is made for this write, however the table was created.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        df.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
+def _own_partitions(spark: SparkSession, table: str) -> list[str]:
+    """The partition columns of a table whose partitions can be overwritten one by one.
+
+    A table declared with the static mode empties all partitions whatever the session says.
+    """
+    shown = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("lower(data_type) LIKE '%partitionoverwritemode=static%'")
+    return [] if shown.limit(1).collect() else partition_columns(spark, table)
 
 
 def swap_table(df: DataFrame, table: str) -> DataFrame:
@@ -92,7 +166,7 @@ def append_by_name(df: DataFrame, table: str) -> DataFrame:
 def replace_days(df: DataFrame, table: str, days: Iterable[object], column: str = "date") -> DataFrame:
     """Replace the given days of a table.
 
-    In a table partitioned by ``column`` alone, one job rewrites the partitions of every day that
+    In a table partitioned by ``column`` alone, whoever created it, one job rewrites the partitions of every day that
     has rows, clustered so that a day is a few files, and notes which days those were. A requested
     day without rows ends up empty too: its partition is dropped. Any other table is written anew
     with its other days kept.
@@ -102,13 +176,13 @@ def replace_days(df: DataFrame, table: str, days: Iterable[object], column: str
     target = spark.table(table)
     asked = F.col(column).isin([F.lit(day).cast("date") for day in wanted])
     rows = df.filter(asked).select(*target.columns)
-    if partition_columns(spark, table) != [column]:
+    if _own_partitions(spark, table) != [column]:
         others = target.filter(~F.coalesce(asked, F.lit(False)))
         return swap_table(others.unionByName(rows), table)
     rows = clustered(rows, column, *(c for c in rows.columns if c != column))
     seen = Observation()
     # a set of at most as many days as were asked for
-    rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days")).write.mode("overwrite").insertInto(table)
+    _overwrite_partitions(rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days")), table)
     emptied = sorted(set(wanted) - set(seen.get["days"]))
     if emptied:
         parts = ", ".join(f"PARTITION ({column}=DATE'{day}')" for day in emptied)
@@ -170,7 +244,7 @@ def upsert_into(table: str, source: DataFrame, keys: list[str], null_safe: bool
     """
     spark = source.sparkSession
     target = spark.table(table)
-    parts = partition_columns(spark, table)
+    parts = _own_partitions(spark, table)
     if len(parts) != 1 or parts[0] not in keys:
         return swap_table(upsert(target, source, keys, null_safe), table)
     # as many values as partitions are written
@@ -180,7 +254,7 @@ def upsert_into(table: str, source: DataFrame, keys: list[str], null_safe: bool
     held = target.filter(F.col(parts[0]).isin(touched))
     merged = settle(upsert(held, source, keys, null_safe), "merged")
     spread = clustered(merged, parts[0], *(k for k in keys if k != parts[0]))
-    spread.select(*target.columns).write.mode("overwrite").insertInto(table)
+    _overwrite_partitions(spread.select(*target.columns), table)
     return spark.table(table)
 
 

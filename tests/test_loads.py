@@ -178,3 +178,113 @@ def test_clustered_write_splits_a_busy_day(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(spark.read.parquet(path).inputFiles()) == 4
     assert spark.read.parquet(path).count() == 10_000
+
+
+PLAIN = {
+    "sql": "CREATE TABLE {} (v INT, date DATE) USING parquet PARTITIONED BY (date)",
+    "static": "CREATE TABLE {} (v INT, date DATE) USING parquet OPTIONS (partitionOverwriteMode 'static') PARTITIONED BY (date)",
+    "unpartitioned": "CREATE TABLE {} (v INT, date DATE) USING parquet",
+    "coarser": "CREATE TABLE {} (v INT, date DATE, year INT) USING parquet PARTITIONED BY (year)",
+}
+
+
+@pytest.fixture(params=sorted(PLAIN))
+def plain_table(spark, database, request):
+    """Three days in a table that plain SQL created, partitioned in one way or another."""
+    table = f"{database}.t_{request.param}"
+    spark.sql(PLAIN[request.param].format(table))
+    days = [(1, date(2024, 1, 1)), (2, date(2024, 1, 2)), (3, date(2024, 1, 2)), (4, date(2025, 1, 3))]
+    held = spark.createDataFrame(days, "v int, date date")
+    if request.param == "coarser":
+        held = held.selectExpr("v", "date", "year(date) AS year")
+    held.write.insertInto(table)
+    return table
+
+
+def like(spark, table, data):
+    return spark.createDataFrame(data, "v int, date date").selectExpr("v", "date", "year(date) AS year").select(*spark.table(table).columns)
+
+
+def test_replacing_a_day_keeps_the_others_in_any_table(spark, plain_table):
+    loads.replace_days(like(spark, plain_table, [(9, date(2024, 1, 2))]), plain_table, ["2024-01-02"])
+    want = [(1, date(2024, 1, 1)), (4, date(2025, 1, 3)), (9, date(2024, 1, 2))]
+    assert rows(spark.table(plain_table).select("v", "date")) == want
+    loads.replace_days(like(spark, plain_table, []), plain_table, ["2024-01-01"])
+    assert rows(spark.table(plain_table).select("v", "date")) == want[1:]
+
+
+def test_merging_into_a_day_keeps_the_others_in_any_table(spark, plain_table):
+    source = like(spark, plain_table, [(2, date(2024, 1, 2)), (5, date(2024, 1, 2)), (6, date(2026, 1, 1))])
+    for _ in range(2):
+        loads.upsert_into(plain_table, source, ["v", "date"])
+        got = rows(spark.table(plain_table).select("v"))
+        assert got == [(1,), (2,), (3,), (4,), (5,), (6,)]
+
+
+def test_the_session_keeps_its_own_overwrite_mode(spark, database):
+    table = f"{database}.modes"
+    spark.sql(PLAIN["sql"].format(table))
+    before = spark.conf.get(loads.OVERWRITE_MODE)
+    failing = like(spark, table, [(1, date(2024, 1, 1))]).selectExpr("CAST(raise_error('no') AS INT) AS v", "date")
+    with pytest.raises(Exception, match="no"):
+        loads.replace_days(failing, table, ["2024-01-01"])
+    assert spark.conf.get(loads.OVERWRITE_MODE) == before
+
+
+def test_a_failed_replacement_leaves_the_old_partitioned_table(spark, database, monkeypatch):
+    table = f"{database}.kept"
+    spark.sql(PLAIN["sql"].format(table))
+    spark.sql(f"INSERT INTO {table} VALUES (1, DATE'2024-01-01'), (2, DATE'2024-01-02')")
+    bad = spark.table(table).selectExpr("CAST(raise_error('broken') AS INT) AS v", "date")
+    for replace in (lambda: loads.replace_table(bad, table, ["date"]), lambda: loads.swap_table(bad, table)):
+        with pytest.raises(Exception, match="broken"):
+            replace()
+        assert rows(spark.table(table).select("v")) == [(1,), (2,)]
+
+    # the rows are computed, but the last copy fails half way, under the same columns and under others
+    half = "CAST(CASE WHEN date > DATE'2024-01-06' THEN raise_error('half') ELSE v END AS INT) AS v"
+    overwrite, writer, calls = loads._overwrite_partitions, loads._writer, []
+
+    def first_fails(df, partition_by):
+        calls.append(partition_by)
+        return writer(df.selectExpr(half, *(c for c in df.columns if c != "v")) if len(calls) == 1 else df, partition_by)
+
+    monkeypatch.setattr(loads, "_overwrite_partitions", lambda df, name: overwrite(df.selectExpr(half, "date"), name))
+    monkeypatch.setattr(loads, "_writer", first_fails)
+    new = like(spark, table, [(6, date(2024, 1, 6)), (7, date(2024, 1, 7))])
+    for changed in (new, new.withColumn("w", new["v"])):
+        with pytest.raises(Exception, match="half"):
+            loads.replace_table(changed, table, ["date"])
+        assert rows(spark.table(table).select("v")) == [(1,), (2,)]
+    assert len(calls) == 2
+    monkeypatch.undo()
+    assert rows(spark.table(table).select("v")) == [(1,), (2,)]
+    loads.replace_days(like(spark, table, [(8, date(2024, 1, 2))]), table, ["2024-01-02"])
+    assert rows(spark.table(table).select("v")) == [(1,), (8,)]
+
+
+def test_a_replaced_table_takes_days_and_drops_them(spark, database):
+    table = f"{database}.twice"
+    for v in (1, 2):
+        loads.replace_table(like_rows(spark, v), table, ["date"])
+    loads.replace_days(like_rows(spark, 5), table, ["2024-01-01"])
+    loads.replace_days(like_rows(spark, 6).limit(0), table, ["2024-01-02"])
+    assert rows(spark.table(table)) == [(5, date(2024, 1, 1))]
+
+
+def like_rows(spark, v):
+    return spark.createDataFrame([(v, date(2024, 1, 1)), (v, date(2024, 1, 2))], "v int, date date")
+
+
+def test_partitions_that_are_no_more_go_with_a_replacement(spark, database):
+    table = f"{database}.named"
+    first = spark.createDataFrame([(1, "a'b"), (2, None), (3, "c/d=e"), (4, "f")], "v int, k string")
+    loads.replace_table(first, table, ["k"])
+    loads.replace_table(first.filter("v = 4").withColumn("v", first["v"] * 10), table, ["k"])
+    assert rows(spark.table(table)) == [(40, "f")]
+    loads.replace_table(first.filter("v IN (2, 3)"), table, ["k"])
+    assert rows(spark.table(table)) == [(2, None), (3, "c/d=e")]
+    loads.replace_table(spark.createDataFrame([(1, "x", 2.0)], "v int, k string, w double"), table, ["k"])
+    assert spark.table(table).select("v", "k", "w").collect() == [(1, "x", 2.0)]
+    loads.replace_table(spark.createDataFrame([(1, 2)], "v int, w int"), table)
+    assert rows(spark.table(table)) == [(1, 2)] and loads.partition_columns(spark, table) == []
