@@ -164,28 +164,34 @@ def append_by_name(df: DataFrame, table: str) -> DataFrame:
 
 
 def replace_days(df: DataFrame, table: str, days: Iterable[object], column: str = "date") -> DataFrame:
-    """Replace the given days of a table.
+    """Replace the given days of a table; see ``replace_partitions``."""
+    return replace_partitions(df, table, [str(day) for day in days], column)
 
-    In a table partitioned by ``column`` alone, whoever created it, one job rewrites the partitions of every day that
-    has rows, clustered so that a day is a few files, and notes which days those were. A requested
-    day without rows ends up empty too: its partition is dropped. Any other table is written anew
-    with its other days kept.
+
+def replace_partitions(df: DataFrame, table: str, values: Iterable[object], column: str) -> DataFrame:
+    """Replace the rows of the given values of one column, such as days.
+
+    In a table partitioned by ``column`` alone, whoever created it, one job rewrites the partitions
+    of every value that has rows, clustered so that a value is a few files, and notes which those
+    were. A value without rows ends up empty too: its partition is dropped. Any other table is
+    written anew with its other values kept.
     """
     spark = df.sparkSession
-    wanted = sorted({str(day) for day in days})
+    wanted = sorted({str(value) for value in values})
     target = spark.table(table)
-    asked = F.col(column).isin([F.lit(day).cast("date") for day in wanted])
+    kind = target.schema[column].dataType
+    asked = F.col(column).isin([F.lit(value).cast(kind) for value in wanted])
     rows = df.filter(asked).select(*target.columns)
     if _own_partitions(spark, table) != [column]:
         others = target.filter(~F.coalesce(asked, F.lit(False)))
         return swap_table(others.unionByName(rows), table)
     rows = clustered(rows, column, *(c for c in rows.columns if c != column))
     seen = Observation()
-    # a set of at most as many days as were asked for
-    _overwrite_partitions(rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("days")), table)
-    emptied = sorted(set(wanted) - set(seen.get["days"]))
+    # a set of at most as many values as were asked for
+    _overwrite_partitions(rows.observe(seen, F.collect_set(F.col(column).cast("string")).alias("found")), table)
+    emptied = sorted(set(wanted) - set(seen.get["found"]))
     if emptied:
-        parts = ", ".join(f"PARTITION ({column}=DATE'{day}')" for day in emptied)
+        parts = ", ".join(f"PARTITION ({column}={_literal(value)})" for value in emptied)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {parts}")
     return spark.table(table)
 

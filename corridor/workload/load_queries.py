@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.operators import loads
-from corridor.plans import bronze, silver
+from corridor.plans import bronze, refresh, silver
 from corridor.schemas import TRIP_DIMENSIONS
 from corridor.session import new_database, new_path, settle
 from corridor.sources import feed
@@ -225,14 +225,66 @@ def stream_daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "prod_bronze_trips",
-    statement(f"SELECT {', '.join(TRIP_DIMENSIONS)}, travels, round(travels_km, 2) AS travels_km FROM bronze_trips "
-              "WHERE date BETWEEN DATE '1996-02-01' AND DATE '1996-02-29'"),
+    statement(f"SELECT {', '.join(TRIP_DIMENSIONS)}, travels, round(travels_km, 2) AS travels_km FROM weekly_bronze"),
 )
 def prod_bronze_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The landing table after replacing a month of days; the days are the
-    operator's parameter."""
+    """The landing table after loading every day that was published, all in one job."""
     table = f"{new_database(spark)}.trips"
     bronze.create_trips(spark, table)
-    days = [f"1996-02-{day:02d}" for day in range(1, 30)]
-    loaded = bronze.load_trips(t.raw_trips(spark, sf_dir), table, days)
+    # as many as days
+    days = [str(row[0]) for row in t.weekly_legs(spark, sf_dir).select("date").distinct().collect()]
+    loaded = bronze.load_trips(t.raw_trips(spark, sf_dir, weekly=True), table, days)
     return loaded.withColumn("travels_km", F.round("travels_km", 2))
+
+
+def _two_silver_loads(spark: SparkSession, sf_dir: str) -> tuple[str, list[str], list[str]]:
+    """Silver trips loaded twice from what had landed by then: the table, and the days each load did."""
+    database = new_database(spark)
+    mapping = silver.district_map(silver.relation(t.relation(spark, sf_dir)))
+    table, ledger = f"{database}.silver_trips", f"{database}.silver_ledger"
+    first = refresh.refresh_trips(t.earlier_legs(spark, sf_dir), mapping, table, ledger)
+    second = refresh.refresh_trips(t.later_legs(spark, sf_dir), mapping, table, ledger)
+    return table, first, second
+
+
+#: Days that came, changed or went between the two loads.
+CHANGED = "((date - DATE '1995-01-02') // 7 % 11 = 5 OR (date - DATE '1995-01-02') // 7 % 9 = 0)"
+
+
+@query(
+    "prod_trips_refreshed",
+    statement(
+        f"""SELECT date, period, origin_id, destination_id, travels, round(travels_km, 2) AS travels_km,
+            {CHANGED} AS loaded_again FROM later_silver"""
+    ),
+)
+def prod_trips_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver trips after a second load that does only the days that differ."""
+    table, _, second = _two_silver_loads(spark, sf_dir)
+    again = F.col("date").isin([F.lit(day).cast("date") for day in second])
+    return spark.table(table).select(
+        "date", "period", "origin_id", "destination_id", "travels", F.round("travels_km", 2).alias("travels_km"),
+        again.alias("loaded_again"),
+    )
+
+
+WEEKS = ("1995-01-01", "2001-12-31")
+
+
+@query(
+    "agg_partials_refreshed",
+    statement(
+        f"""SELECT CAST(floor((date - DATE '{WEEKS[0]}') / 7) AS BIGINT) AS batch, origin_id, destination_id,
+            CAST(SUM(travels) AS BIGINT) AS partial_trips
+        FROM later_silver WHERE date BETWEEN DATE '{WEEKS[0]}' AND DATE '{WEEKS[1]}' GROUP BY 1, 2, 3"""
+    ),
+)
+def agg_partials_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly partial sums stored after the first load and brought up to date after the second."""
+    database = new_database(spark)
+    mapping = silver.district_map(silver.relation(t.relation(spark, sf_dir)))
+    table, ledger, partials = (f"{database}.{name}" for name in ("silver_trips", "silver_ledger", "partials"))
+    for landed in (t.earlier_legs(spark, sf_dir), t.later_legs(spark, sf_dir)):
+        days = refresh.refresh_trips(landed, mapping, table, ledger)
+        refresh.refresh_partials(spark.table(table), days, partials, *WEEKS)
+    return spark.table(partials).select("batch", "origin_id", "destination_id", "partial_trips")

@@ -25,10 +25,6 @@ def _zone_points(zones: int) -> str:
               FROM embeddings GROUP BY 1)"""
 
 
-def _folded(code: str, width: int) -> str:
-    return f"lpad(CAST({code}::INT % 5 AS VARCHAR), {width}, '0')"
-
-
 def _by_hour(legs: str) -> str:
     return f"""
         SELECT date, period, origin, destination, SUM(travels) AS travels, SUM(travels_km) AS travels_km
@@ -90,17 +86,20 @@ TABLES: dict[str, str] = {
             CASE WHEN l_tax >= 0.08 THEN NULL WHEN l_orderkey % 2 = 0 THEN 'hombre' ELSE 'mujer' END AS gender,
             l_quantity AS travels, l_extendedprice AS travels_km
         FROM lineitem""",
-    # a few days, hours and zones, so that groups hold many rows
+    # legs of 16 neighbouring orders share day, hour, zones and most dimensions, so that groups hold many rows
     "busy_legs": f"""
-        SELECT * REPLACE (CAST(date_trunc('year', date) AS DATE) + (dayofyear(date) % 3)::INT AS date,
-            lpad(CAST(period::INT % 2 AS VARCHAR), 2, '0') AS period,
-            {_folded("origin", 3)} AS origin, {_folded("destination", 3)} AS destination,
-            if(origin::INT % 5 < 3, '2-10', '10-50') AS distance,
-            if(origin::INT % 5 < 2, 'si', 'no') AS study_origin_posible,
-            if(destination::INT % 5 < 2, 'si', 'no') AS study_destination_posible,
-            {_folded("destination", 2)} AS residence, if(period::INT % 2 = 0, '<10', '>15') AS rent,
-            if(origin::INT % 5 = 0, '25-45', '45-65') AS age, if(period::INT % 2 = 0, NULL, 'mujer') AS gender)
-        FROM legs""",
+        SELECT DATE '1995-01-01' + CAST(l_orderkey // 16 * 37 % 2557 AS INT) AS date,
+            lpad(CAST(l_orderkey // 16 % 24 AS VARCHAR), 2, '0') AS period,
+            lpad(CAST(l_orderkey // 16 % {ZONES} AS VARCHAR), 3, '0') AS origin,
+            lpad(CAST((l_orderkey // 16 + l_orderkey // 16 // {ZONES} + 1) % {ZONES} AS VARCHAR), 3, '0') AS destination,
+            if(l_orderkey // 16 % 5 < 3, '2-10', '10-50') AS distance,
+            l_returnflag AS activity_origin, l_linestatus AS activity_destination,
+            if(l_orderkey // 16 % 5 < 2, 'si', 'no') AS study_origin_posible,
+            if(l_orderkey // 16 % 7 < 3, 'si', 'no') AS study_destination_posible,
+            lpad(CAST(l_orderkey // 16 % 25 AS VARCHAR), 2, '0') AS residence,
+            if(l_orderkey // 16 % 2 = 0, '<10', '>15') AS rent, if(l_orderkey // 16 % 3 = 0, '25-45', '45-65') AS age,
+            if(l_orderkey // 16 % 4 = 0, NULL, 'mujer') AS gender, l_quantity AS travels, l_extendedprice AS travels_km
+        FROM lineitem""",
     "bronze_trips": _all_dimensions("legs"),
     "busy_bronze": _all_dimensions("busy_legs"),
     "relation": f"""
@@ -119,6 +118,10 @@ TABLES: dict[str, str] = {
             AND distrito_mitma IS NOT NULL AND municipio_mitma IS NOT NULL""",
     "district_map": "SELECT DISTINCT distrito_mitma, distrito_ine FROM silver_relation",
     "zone_points": _zone_points(ZONES),
+    "vector_points": """
+        SELECT vec_id, CAST(726000 + floor(floor(CAST(embedding[1] AS DOUBLE) * 1000000::DOUBLE) * 0.4::DOUBLE) AS BIGINT) AS x,
+            CAST(4350000 + floor(floor(CAST(embedding[2] AS DOUBLE) * 1000000::DOUBLE) * 0.5::DOUBLE) AS BIGINT) AS y
+        FROM embeddings""",
     "fine_zones": f"""
         SELECT zone AS distrito_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y
         FROM ({_zone_points(FINE_ZONES)})""",
@@ -155,6 +158,13 @@ TABLES: dict[str, str] = {
     "recode_targets": "SELECT distrito_mitma AS code, list(distrito_ine) AS ids FROM district_map GROUP BY distrito_mitma",
     "legs_by_hour": _by_hour("legs"),
     "busy_by_hour": _by_hour("busy_legs"),
+    "weekly_legs": "SELECT * REPLACE (CAST(date_trunc('week', date) AS DATE) AS date) FROM legs",
+    "weekly_bronze": _all_dimensions("weekly_legs"),
+    "later_legs": """
+        SELECT * REPLACE (travels + if((date - DATE '1995-01-02') // 7 % 9 = 0, 1, 0) AS travels)
+        FROM weekly_legs WHERE (date - DATE '1995-01-02') // 7 % 17 <> 3""",
+    "later_by_hour": _by_hour("later_legs"),
+    "later_silver": _recoded("later_by_hour"),
     "silver_trips": _recoded("legs_by_hour"),
     "busy_silver": _recoded("busy_by_hour"),
     "od": "SELECT origin_id, destination_id, SUM(travels) AS actual_trips FROM silver_trips GROUP BY 1, 2",

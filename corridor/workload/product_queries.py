@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corridor.functions import scalars as s
 from corridor.functions import spatial
-from corridor.operators import aggregates, clustering, filters, joins, pairs
+from corridor.operators import aggregates, clustering, filters, joins, pairs, spatial_joins
 from corridor.plans import first_generation, gold, silver
 from corridor.schemas import HOUR_COLUMNS
 from corridor.session import settle
@@ -53,6 +53,50 @@ def chained(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.with_distances(od, zones)
 
 
+CORNERS = """
+    SELECT zone, x, y, half, dx * half AS ax, dy * half AS ay, ex * half AS bx, ey * half AS by_
+    FROM zone_points, (VALUES (900), (300)) h(half),
+        (VALUES (-1, -1, 1, -1), (1, -1, 1, 1), (1, 1, -1, 1), (-1, 1, -1, -1)) s(dx, dy, ex, ey)"""
+
+
+@query(
+    "join_points_in_polygons",
+    statement(
+        """SELECT vec_id, zone AS polygon_id
+           FROM vector_points p JOIN (SELECT zone, x, y, ax, ay, bx, by_ FROM outline_edges) e
+             ON abs(p.x - e.x) <= 900 AND abs(p.y - e.y) <= 900
+           GROUP BY vec_id, zone
+           HAVING SUM(CASE WHEN (e.y + ay > p.y) <> (e.y + by_ > p.y)
+                           AND p.x < e.x + ax + (bx - ax) * (p.y - e.y - ay) / CAST(by_ - ay AS DOUBLE) THEN 1 ELSE 0 END) % 2 = 1
+             AND NOT bool_or((bx - ax) * (p.y - e.y - ay) = (by_ - ay) * (p.x - e.x - ax)
+                             AND p.x - e.x BETWEEN least(ax, bx) AND greatest(ax, bx)
+                             AND p.y - e.y BETWEEN least(ay, by_) AND greatest(ay, by_))""",
+        outline_edges=CORNERS,
+    ),
+)
+def join_points_in_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's point with every zone outline, a square with a square hole, that it lies inside."""
+    found = spatial_joins.points_in_polygons(t.vector_points(spark, sf_dir), t.outline_table(spark, sf_dir), "ID", "geom")
+    return found.select("vec_id", "polygon_id")
+
+
+NEAR = 5000
+
+
+@query(
+    "join_points_within",
+    statement(
+        f"""SELECT a.vec_id AS a_vec_id, b.vec_id AS b_vec_id,
+              round(sqrt(CAST((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS DOUBLE)), 4) AS distance_meters
+           FROM vector_points a JOIN vector_points b
+             ON a.vec_id < b.vec_id AND (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= {NEAR * NEAR}"""
+    ),
+)
+def join_points_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = spatial_joins.pairs_within(t.vector_points(spark, sf_dir), "vec_id", float(NEAR))
+    return places(near, 4, "distance_meters")
+
+
 @query(
     "st_distance_planar",
     statement(

@@ -246,9 +246,9 @@ STAR = """
 
 @query("join_gravity_star", statement(STAR))
 def join_gravity_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through the full distance table."""
+    """The pairs that occur, measured from both centroids."""
     od = aggregates.od_totals(silver_trips(spark, sf_dir))
-    measured = joins.listed_distances(od, silver.distances(geometries(spark, sf_dir)))
+    measured = pairs.with_distances(od, geometries(spark, sf_dir))
     star = joins.gravity_star(measured, demographics(spark, sf_dir), 1996)
     return star.withColumn("distance_meters", s.rounded(F.col("distance_meters"), 4))
 
@@ -505,14 +505,14 @@ def union_all_mirror(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "except_distinct",
-    statement("SELECT origin, gender FROM legs WHERE date >= DATE '1998-01-01' EXCEPT "
-              "SELECT origin, gender FROM legs WHERE date < DATE '1995-03-01'"),
+    statement("SELECT date, origin, gender FROM legs WHERE study_origin_posible = 'si' EXCEPT "
+              "SELECT date, origin, gender FROM legs WHERE study_origin_posible = 'no'"),
 )
 def except_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is on one side: what only trips from a study zone have; a missing gender equals itself."""
     trips = t.legs(spark, sf_dir)
-    late = trips.filter("date >= DATE '1998-01-01'").select("origin", "gender")
-    early = trips.filter("date < DATE '1995-03-01'").select("origin", "gender")
-    return setops.except_distinct(late, early)
+    sides = [trips.filter(F.col("study_origin_posible") == side).select("date", "origin", "gender") for side in ("si", "no")]
+    return setops.except_distinct(*sides)
 
 
 # --- scalar functions --------------------------------------------------------

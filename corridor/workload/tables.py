@@ -22,7 +22,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def legs(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
     """Typed trip rows before any sum."""
     return load(spark, sf_dir, "lineitem").selectExpr(
         "CAST(l_shipdate AS DATE) AS date",
@@ -42,35 +42,35 @@ def legs(spark: SparkSession, sf_dir: str) -> DataFrame:
         """CASE WHEN l_tax >= 0.08 THEN NULL WHEN l_orderkey % 2 = 0 THEN 'hombre' ELSE 'mujer' END AS gender""",
         "l_quantity AS travels",
         "l_extendedprice AS travels_km",
+        *extra,
     )
 
 
 def busy_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows on a few days, hours and zones: every group of a sum holds
-    many rows, and more of them where there is more data."""
-
-    def folded(code: str, width: int) -> str:
-        return f"lpad(CAST(CAST({code} AS INT) % 5 AS STRING), {width}, '0')"
-
+    """The same rows as legs of 16 neighbouring orders each: a leg's rows share day, hour, both zones
+    and most other dimensions, so every group of a sum holds ten rows or more, and the number of
+    groups grows with the table."""
     few = {
-        "date": "date_add(trunc(date, 'year'), dayofyear(date) % 3)",
-        "period": "lpad(CAST(CAST(period AS INT) % 2 AS STRING), 2, '0')",
-        "origin": folded("origin", 3),
-        "destination": folded("destination", 3),
-        "distance": "CASE WHEN CAST(origin AS INT) % 5 < 3 THEN '2-10' ELSE '10-50' END",
-        "study_origin_posible": "CASE WHEN CAST(origin AS INT) % 5 < 2 THEN 'si' ELSE 'no' END",
-        "study_destination_posible": "CASE WHEN CAST(destination AS INT) % 5 < 2 THEN 'si' ELSE 'no' END",
-        "residence": folded("destination", 2),
-        "rent": "CASE WHEN CAST(period AS INT) % 2 = 0 THEN '<10' ELSE '>15' END",
-        "age": "CASE WHEN CAST(origin AS INT) % 5 = 0 THEN '25-45' ELSE '45-65' END",
-        "gender": "CASE WHEN CAST(period AS INT) % 2 = 0 THEN NULL ELSE 'mujer' END",
+        "date": "date_add(DATE '1995-01-01', CAST(leg * 37 % 2557 AS INT))",
+        "period": "lpad(CAST(leg % 24 AS STRING), 2, '0')",
+        "origin": f"lpad(CAST(leg % {ZONES} AS STRING), 3, '0')",
+        "destination": f"lpad(CAST((leg + leg div {ZONES} + 1) % {ZONES} AS STRING), 3, '0')",
+        "distance": "CASE WHEN leg % 5 < 3 THEN '2-10' ELSE '10-50' END",
+        "study_origin_posible": "CASE WHEN leg % 5 < 2 THEN 'si' ELSE 'no' END",
+        "study_destination_posible": "CASE WHEN leg % 7 < 3 THEN 'si' ELSE 'no' END",
+        "residence": "lpad(CAST(leg % 25 AS STRING), 2, '0')",
+        "rent": "CASE WHEN leg % 2 = 0 THEN '<10' ELSE '>15' END",
+        "age": "CASE WHEN leg % 3 = 0 THEN '25-45' ELSE '45-65' END",
+        "gender": "CASE WHEN leg % 4 = 0 THEN NULL ELSE 'mujer' END",
     }
-    return legs(spark, sf_dir).withColumns({name: F.expr(sql) for name, sql in few.items()})
+    rows = legs(spark, sf_dir, "l_orderkey div 16 AS leg")
+    return rows.withColumns({name: F.expr(sql) for name, sql in few.items()}).drop("leg")
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, busy: bool = False) -> DataFrame:
+def raw_trips(spark: SparkSession, sf_dir: str, busy: bool = False, weekly: bool = False) -> DataFrame:
     """The same rows as published: all strings, compact dates."""
-    typed = (busy_legs if busy else legs)(spark, sf_dir).withColumn("date", F.date_format("date", "yyyyMMdd"))
+    rows = busy_legs if busy else weekly_legs if weekly else legs
+    typed = rows(spark, sf_dir).withColumn("date", F.date_format("date", "yyyyMMdd"))
     return typed.select(*(F.col(new).cast("string").alias(old) for old, new in TRIP_FIELDS.items()))
 
 
@@ -106,6 +106,35 @@ def zone_points(spark: SparkSession, sf_dir: str, zones: int = ZONES) -> DataFra
     )
 
 
+def vector_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(vec_id, x, y): every vector as a point in whole projected metres, as zone points are their means."""
+    return load(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id",
+        "CAST(726000 + floor(floor(CAST(embedding[0] AS DOUBLE) * CAST(1000000 AS DOUBLE)) * CAST(0.4 AS DOUBLE)) AS BIGINT) AS x",
+        "CAST(4350000 + floor(floor(CAST(embedding[1] AS DOUBLE) * CAST(1000000 AS DOUBLE)) * CAST(0.5 AS DOUBLE)) AS BIGINT) AS y",
+    )
+
+
+def weekly_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All trip rows as a publisher of weekly files dates them: by the Monday of their week."""
+    return legs(spark, sf_dir).withColumn("date", F.trunc("date", "week"))
+
+
+def week_number() -> F.Column:
+    return F.floor(F.datediff(F.col("date"), F.lit("1995-01-02").cast("date")) / 7)
+
+
+def later_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly rows as landed some time later: one week in 11 has come, one in 9 has more travels, one in 17 is no more."""
+    more = F.when(week_number() % 9 == 0, F.col("travels") + 1).otherwise(F.col("travels"))
+    return weekly_legs(spark, sf_dir).filter(week_number() % 17 != 3).withColumn("travels", more)
+
+
+def earlier_legs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly rows landed at first, without the weeks that come later."""
+    return weekly_legs(spark, sf_dir).filter(week_number() % 11 != 5)
+
+
 def centroid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_points(spark, sf_dir).selectExpr("zone AS ID", "concat('POINT (', x, ' ', y, ')') AS geom")
 
