@@ -2,13 +2,18 @@
 
 The page becomes a tree (end tags that browsers imply are implied here too). Scripts, styles,
 forms, menus, page headers and footers, sidebars, notices, adverts and reader comments are cut by
-tag, role and the words of class and id. Every paragraph then passes points for its length and its
+tag, role and the words of class and id. Words cut only elements they name (``names_a_part``): not
+headings, not those that only tell a layout (``has-sidebar``) or a subject (``related-work``), and
+inside the article, or where a page has none, not an element that holds the greater part of the text
+unless that is links. Every paragraph then passes points for its length and its
 commas to its ancestors, less the farther they are; an element's points are discounted by the share
 of its text that stands in links. The best container is kept whole, widened to the article or main
 part it lies in; without one, with those siblings and bare texts beside it that are not mostly links,
-less their link lists. Its blocks are joined in page order.
+less their link lists, and with such siblings of its ancestors as hold a block of 25 characters or a
+comma. Its blocks are joined in page order; of containers that score alike the first is the best.
 
-Null and empty pages, and pages without text, give an empty string. Pages are handled one by one.
+Null and empty pages, and pages without text, give an empty string. Pages are handled one by one,
+whole, however long; repeated rows give the same text each.
 """
 
 from __future__ import annotations
@@ -47,6 +52,16 @@ CUT_WORDS = COMMENT_WORDS | set(
     "share sharing social related recommended recommendations toolbar skip hidden".split()
 )
 HEADER_WORDS = set("header masthead topbar".split())
+#: Words that tell of place and form and may stand beside the word that names a part. Fixed values.
+FORM_WORDS = set(
+    "box block bar list links link container wrapper wrap area region zone panel pane slot unit group row column col inner outer "
+    "top bottom left right upper lower primary secondary main sub mini small large sticky fixed floating mobile desktop "
+    "site page post posts entry article articles story blog global section module component item items button buttons "
+    "text title icon icons content contents form message center middle this us follow policy js id new more".split()
+)
+
+#: Characters of a bare text that is kept away from the best container.
+FAR_BLOCK = 25
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S
@@ -57,12 +72,12 @@ _BLANK = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "attributes", "children", "parent", "points", "chars", "linked")
+    __slots__ = ("tag", "attributes", "children", "parent", "points", "chars", "linked", "most")
 
     def __init__(self, tag: str, attributes: str, parent: Element | None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Element | str] = []
-        self.points = 0.0
+        self.points = self.most = 0.0
         self.chars = self.linked = 0
 
 
@@ -128,7 +143,7 @@ def is_main(element: Element) -> bool:
 
 
 def unwanted(element: Element, in_article: bool, mains: int = 0) -> bool:
-    """``mains`` is how many articles and main parts the page has, comments aside."""
+    """Cut by tag, role, being hidden or being comments; ``mains`` is how many articles and main parts the page has."""
     if element.tag in CUT_TAGS or element.tag == "header" and not in_article:
         return True
     if not element.attributes or element.tag in ("html", "body"):
@@ -144,12 +159,28 @@ def unwanted(element: Element, in_article: bool, mains: int = 0) -> bool:
             return True
         if name in ("class", "id"):
             words |= {w.lower() for w in _WORDS.findall(value)}
-    if words & COMMENT_WORDS and element.tag != "main" and named_comments(element):
+    if words & COMMENT_WORDS and element.tag != "main" and element.tag not in HEADINGS and named_comments(element):
         inside = [child.tag for child in below(element) if is_main(child)]
         return "main" not in inside and (not inside or len(inside) < mains)
-    if element.tag in ("main", "article") or not (words & CUT_WORDS - COMMENT_WORDS or words & HEADER_WORDS and not in_article):
+    return False
+
+
+def names_a_part(element: Element, in_article: bool) -> bool:
+    """Whether a name of class or id calls the element a menu, a sidebar, an advert and so on.
+
+    All words of the name must be such words or tell of place and form: others make it a subject's
+    name, and words of state a layout's.
+    """
+    if not element.attributes or element.tag in ("html", "body", "main", "article") or element.tag in HEADINGS:
         return False
-    return not any(child.tag in ("main", "article") for child in below(element))
+    cut = CUT_WORDS - COMMENT_WORDS if in_article else CUT_WORDS - COMMENT_WORDS | HEADER_WORDS
+    for name, *values in _ATTRIBUTE.findall(element.attributes):
+        if name.lower() in ("class", "id"):
+            for token in "".join(values).split():
+                words = {w.lower() for w in _WORDS.findall(token)}
+                if words & cut and not words - cut - FORM_WORDS:
+                    return not any(child.tag in ("main", "article") for child in below(element))
+    return False
 
 
 def below(element: Element) -> Iterator[Element]:
@@ -163,6 +194,26 @@ def below(element: Element) -> Iterator[Element]:
 
 def prune(root: Element) -> None:
     mains = sum(is_main(element) for element in below(root))
+    _cut(root, lambda child, in_article: unwanted(child, in_article, mains))
+    for owner, text, linked in blocks(root):
+        for element in upward(owner):
+            element.chars += len(text)
+            element.linked += linked
+    whole = root.chars
+
+    def named(child: Element, in_article: bool) -> bool:
+        if not names_a_part(child, in_article):
+            return False
+        # beside an article a named part goes whatever its size
+        beside = mains > 0 and not in_article
+        return beside or 2 * child.chars <= whole or 2 * child.linked > child.chars
+
+    _cut(root, named)
+    for element in [root, *below(root)]:
+        element.chars = element.linked = 0
+
+
+def _cut(root: Element, goes) -> None:
     waiting = [(root, False)]
     while waiting:
         element, in_article = waiting.pop()
@@ -170,13 +221,19 @@ def prune(root: Element) -> None:
         kept = []
         for child in element.children:
             if isinstance(child, Element):
-                if unwanted(child, in_article, mains):
+                if goes(child, in_article):
                     continue
                 waiting.append((child, in_article))
             kept.append(child)
         element.children = kept
 
 
+def upward(element: Element | None) -> Iterator[Element]:
+    while element is not None:
+        yield element
+        element = element.parent
+
+
 def blocks(element: Element) -> Iterator[tuple[Element, str, int]]:
     """(element the block stands in, its text, its characters in links) in page order."""
     text: list[str] = []
@@ -228,11 +285,10 @@ def main_text(page: str | None) -> str:
     for owner, text, linked in blocks(root):
         points = text.count(",") + min(len(text) / 100, 3) + min(len(text) / 25, 1)
         share, up = 1.0, owner if owner.tag not in ("p", "li", "td", "th", "dd", "dt", "pre", "blockquote", *HEADINGS) else owner.parent
-        above = owner
-        while above is not None:
+        for above in upward(owner):
             above.chars += len(text)
             above.linked += linked
-            above = above.parent
+            above.most = max(above.most, points)
         level = 0
         while up is not None and level < 6:
             up.points += points * share
@@ -253,9 +309,16 @@ def main_text(page: str | None) -> str:
 
 
 def with_siblings(best: Element) -> Element:
-    """The best container with what stands beside it and is not mostly links."""
-    if best.parent is None:
-        return best
+    """The best container with what stands beside it, and beside its ancestors, and is not mostly links."""
+    here, whole = best, best
+    while here.parent is not None:
+        whole = _beside(here, whole, nearest=here is best)
+        here = here.parent
+    return whole
+
+
+def _beside(here: Element, kept: Element, nearest: bool) -> Element:
+    """``kept``, which stands for ``here``, among its siblings; farther out only siblings with a block of some length."""
     whole, run = Element("div", "", None), []
 
     def add_run() -> None:
@@ -263,18 +326,19 @@ def with_siblings(best: Element) -> Element:
         alone = Element("div", "", None)
         alone.children = list(run)
         found = [(len(text), linked) for _, text, linked in blocks(alone)]
-        if sum(linked for _, linked in found) < 0.5 * sum(n for n, _ in found):
+        size = sum(n for n, _ in found)
+        if sum(linked for _, linked in found) < 0.5 * size and (nearest or size >= FAR_BLOCK):
             whole.children += run
         run.clear()
 
-    for child in best.parent.children:
-        if child is not best and (isinstance(child, str) or child.tag not in BLOCK):
+    for child in here.parent.children:
+        if child is not here and (isinstance(child, str) or child.tag not in BLOCK):
             run.append(child)
             continue
         add_run()
-        if child is best:
-            whole.children.append(child)
-        elif child.chars and child.linked < 0.5 * child.chars:
+        if child is here:
+            whole.children.append(kept)
+        elif child.chars and child.linked < 0.5 * child.chars and (nearest or child.most >= 1):
             for element in [e for e in below(child) if is_link_list(e)]:
                 element.parent.children = [c for c in element.parent.children if c is not element]
             whole.children.append(child)

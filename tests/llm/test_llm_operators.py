@@ -516,6 +516,19 @@ LINKS = "<ul><li><a href=/1>First source</a><li><a href=/2>Second source</a><li>
         (f"<article class='post comments-open'><p>{LONG}</p></article>", [LONG]),
         (f"<div class='with-replies discussion'><article><p>{LONG}</p></article></div>", [LONG]),
         (f"<article><p>{LONG}</p></article><div class=replies><article><p>{LONG} {LONG}</p></article></div>", [LONG]),
+        # names that tell a layout or a subject, not a part
+        (f"<div class='has-sidebar content'><p>{LONG}</p><p>{LONG}</p></div>", [LONG, LONG]),
+        (f"<div class='page sidebar-right'><p>{LONG}</p><p>{LONG}</p></div>", [LONG, LONG]),
+        (f"<article><h2 id='related-work'>Related work</h2><p>{LONG}</p><section id='menu-design'><p>Of menus.</p></section>"
+         f"<div id='sharing-economy'><p>Of sharing.</p></div></article>", ["Related work", LONG, "Of menus.", "Of sharing."]),
+        (f"<article><h2 class='share related'>Shares</h2><p>{LONG}</p><div class='related-posts'><p>Read this.</p></div>"
+         f"<div id='share'><p>Tell others.</p></div></article>", ["Shares", LONG]),
+        (f"<article><div class='widget post-content'><p>{LONG}</p><p>{LONG}</p></div><p>end</p></article>", [LONG, LONG, "end"]),
+        (f"<div class='sidebar'><p>{LONG} {LONG} {LONG}</p></div><article><p>{LONG}</p></article>", [LONG]),
+        # containers that are not direct siblings
+        (f"<div><div><p>{LONG}</p></div></div><div><div><p>{LONG}</p></div></div>", [LONG, LONG]),
+        (f"<div><div><div><p>{LONG}</p><p>{LONG}</p></div></div></div><div><p>A shorter end, but an end.</p></div>{LINKS}",
+         [LONG, LONG, "A shorter end, but an end."]),
     ],
 )
 def test_main_text_is_whole(body, text):
