@@ -195,22 +195,29 @@ def below(element: Element) -> Iterator[Element]:
 def prune(root: Element) -> None:
     mains = sum(is_main(element) for element in below(root))
     _cut(root, lambda child, in_article: unwanted(child, in_article, mains))
-    for owner, text, linked in blocks(root):
-        for element in upward(owner):
-            element.chars += len(text)
-            element.linked += linked
-    whole = root.chars
+    measured: list[tuple[Element, str, int]] = []
 
     def named(child: Element, in_article: bool) -> bool:
         if not names_a_part(child, in_article):
             return False
         # beside an article a named part goes whatever its size
-        beside = mains > 0 and not in_article
-        return beside or 2 * child.chars <= whole or 2 * child.linked > child.chars
+        if mains > 0 and not in_article:
+            return True
+        if not measured:
+            measured.extend(blocks(root))
+            for owner, text, linked in measured:
+                _count(owner, len(text), linked)
+        return 2 * child.chars <= root.chars or 2 * child.linked > child.chars
 
     _cut(root, named)
-    for element in [root, *below(root)]:
-        element.chars = element.linked = 0
+    for owner, text, linked in measured:
+        _count(owner, -len(text), -linked)
+
+
+def _count(owner: Element, chars: int, linked: int) -> None:
+    for element in upward(owner):
+        element.chars += chars
+        element.linked += linked
 
 
 def _cut(root: Element, goes) -> None:
