@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corridor.functions.scalars import iso_date
 from corridor.operators.aggregates import by_all_dimensions
 from corridor.operators.loads import create_if_absent, replace_days
-from corridor.schemas import BRONZE_TRIPS, CALENDAR, RELATION, ZONE_NAMES
+from corridor.schemas import BRONZE_TRIPS, CALENDAR, RAW_TRIPS, RELATION, ZONE_NAMES
 from corridor.sources import delimited, geometry, series
 
 # The columns kept of each reference file.
@@ -30,6 +32,25 @@ def load_trips(raw: DataFrame, table: str, days: list[str], lenient: bool = Fals
     return replace_days(by_all_dimensions(raw, lenient=lenient), table, days)
 
 
+def load_requested(
+    spark: SparkSession, files: DataFrame, table: str, days: list[str], lenient: bool = False, sep: str = "|"
+) -> DataFrame:
+    """Replace the given days from the files a manifest (url, day) lists for them.
+
+    Only those files are opened, all in one job, and Spark packs small ones into one task and cuts
+    large ones that are not compressed; what other days' files hold cannot fail the load. Days the
+    manifest has no file for are left alone, as they have not been published; a day whose files
+    hold no row of it is cleared.
+    """
+    asked = files.filter(F.col("day").isin([date.fromisoformat(day) for day in days]))
+    # as many rows as files of the requested days
+    listed = asked.select("url", F.col("day").cast("string").alias("day")).distinct().collect()
+    if not listed:
+        return spark.table(table)
+    raw = delimited.read_lenient(spark, sorted({row["url"] for row in listed}), RAW_TRIPS, sep=sep)
+    return load_trips(raw, table, sorted({row["day"] for row in listed}), lenient)
+
+
 def dimension(spark: SparkSession, table: str, path: str) -> DataFrame:
     """One of the pipe-delimited reference files."""
     return delimited.read_dimension(spark, path, DIMENSIONS[table])

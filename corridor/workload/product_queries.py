@@ -438,9 +438,10 @@ FEATURES = "SELECT * FROM shown_features"
     ),
 )
 def prod_gravity_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of the trips inside the study area."""
-    zones = geometries(spark, sf_dir)
-    od = aggregates.od_totals(gold.trips_in_region(silver_trips(spark, sf_dir), zones))
+    """Of the trips inside the study area: both ends are filtered before the one sum."""
+    mapping = district_map(spark, sf_dir)
+    zones = geometries(spark, sf_dir, mapping)
+    od = aggregates.od_totals(gold.trips_in_region(joins.recode_both_ends(t.legs(spark, sf_dir), mapping), zones))
     features = gold.gravity_features(od, demographics(spark, sf_dir), YEAR, geometries=zones)
     return places(features, 4, "dist_meters", "gravity_raw")
 

@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from corridor.operators import aggregates, loads
-from corridor.plans import refresh, silver
+from corridor.plans import bronze, refresh, silver
+from corridor.schemas import RAW_TRIPS
 
 TRIPS = "date date, period string, origin string, destination string, travels double, travels_km double, note string"
 DAY = date(2024, 1, 1)
@@ -95,3 +96,29 @@ def test_fingerprints_do_not_depend_on_order_but_on_repeats(spark):
     thrice = landed(spark, {0: [1, 2, 3], 1: [4, 4, 4, 4]})
     assert refresh.changed_days(refresh.day_fingerprints(thrice), refresh.day_fingerprints(one)) == [str(DAY + timedelta(1))]
     assert refresh.day_fingerprints(one.limit(0)).count() == 0
+
+
+def test_only_requested_files_are_read(spark, database, tmp_path):
+    header = "|".join(RAW_TRIPS.fieldNames())
+    values = {"fecha": "20240101", "viajes": "2.5", "viajes_km": "7"}
+
+    def file(name, *dates):
+        lines = ["|".join({**dict.fromkeys(RAW_TRIPS.fieldNames(), "1"), **values, "fecha": day}.values()) for day in dates]
+        (tmp_path / name).write_text("\n".join([header, *lines]))
+        return str(tmp_path / name)
+
+    good, late, bad = file("a.csv", "20240101", "20240101"), file("b.csv", "20240102"), file("c.csv", "not a date")
+    manifest = spark.createDataFrame(
+        [(good, DAY), (good, DAY), (late, date(2024, 1, 2)), (bad, date(2024, 1, 3)), (str(tmp_path / "gone.csv"), date(2024, 1, 4))],
+        "url string, day date",
+    )
+    table = f"{database}.trips"
+    bronze.create_trips(spark, table)
+    assert rows(bronze.load_requested(spark, manifest, table, ["2024-01-01"]).select("travels")) == [(5.0,)]
+    # a day that was not published is left alone, and so are the other days
+    bronze.load_requested(spark, manifest, table, ["2024-01-02", "2024-01-09"])
+    assert rows(spark.table(table).select("travels")) == [(2.5,), (5.0,)]
+    assert bronze.load_requested(spark, manifest, table, ["2024-02-01"]).count() == 2
+    with pytest.raises(Exception):  # noqa: B017
+        bronze.load_requested(spark, manifest, table, ["2024-01-03"])
+    assert spark.table(table).count() == 2
