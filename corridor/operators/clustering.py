@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from concurrent.futures import ThreadPoolExecutor
+from decimal import Decimal
 from math import ceil
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corridor.functions.scalars import ratio
@@ -26,10 +26,11 @@ SEED = 42
 STARTS = 10
 MOST_ITERATIONS = 300
 CANDIDATE_K = (3, 4)
+# Coordinates are counted in these parts of one.
+UNIT = 1_000_000
 
 POINTS_PER_BLOCK = 1024
 MOST_TASKS = 20_000
-DAYS_PER_PARTITION = 20_000
 
 
 def standardized(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -48,29 +49,96 @@ def standardized(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns(scores)
 
 
-def with_features(df: DataFrame, columns: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol="features").transform(df)
+def fixed_points(df: DataFrame, columns: list[str], day: str = "date") -> DataFrame:
+    """(day, v): the columns in whole millionths, so that sums over points do not depend on their order."""
+    whole = ", ".join(f"CAST(round(`{name}` * {UNIT}, 0) AS BIGINT)" for name in columns)
+    return df.select(day, F.expr(f"array({whole}) AS v"))
 
 
-def best_kmeans(
-    featured: DataFrame, ks: tuple[int, ...], starts: int = STARTS, seed: int = SEED
-) -> dict[int, KMeansModel]:
-    """For each k the cheapest of several k-means runs; equal costs go to the
-    lowest seed. The runs are independent Spark jobs, submitted side by side."""
+# The nearest of the centres ``cs`` to ``v`` as (squared distance, number), the first of equally near ones.
+NEAREST = """array_min(transform(cs, (c, i) -> struct(
+    aggregate(zip_with(v, c, (x, y) -> (x - y) * (x - y)), 0.0D, (a, b) -> a + b) AS far, i AS cluster)))"""
+
+
+def _nearest(runs: list[list[list[float]]]) -> Column:
+    """NEAREST for each run's centres, which are one constant."""
+    return F.expr(f"transform(from_json('{json.dumps(runs)}', 'array<array<array<double>>>'), cs -> {NEAREST})")
 
-    def fit(run: tuple[int, int]) -> KMeansModel:
-        k, start = run
-        return KMeans(k=k, seed=seed + start, maxIter=MOST_ITERATIONS, featuresCol="features").fit(featured)
 
+def seeded(points: DataFrame, k: int, starts: int, seed: int, day: str = "date") -> list[list[list[int]]]:
+    """Per start up to ``k`` first centres: points drawn with chances as their squared distance
+    from the centres drawn before.
+
+    A point's draw is a hash of seed, number of the centre and day, and the smallest of
+    -ln(draw) / squared distance wins, so the same table gives the same centres however it is cut.
+    One aggregate for each centre, for all starts at once; the driver holds k x starts points.
+    """
+    chosen: list[list[list[int]]] = [[] for _ in range(starts)]
+    for number in range(k):
+        far = "near.far" if number else "1.0D"
+        # a fixed number above 0 and below 1 for each seed, number of the centre and day
+        name = f"concat(start + {seed}, ':{number}:', `{day}`)"
+        draw = f"(CAST(conv(substr(md5({name}), 1, 13), 16, 10) AS DOUBLE) + 0.5D) / {2**52}D"
+        drawn = (
+            points.select(day, "v", F.posexplode(_nearest(chosen)).alias("start", "near"))
+            .filter(f"{far} > 0")
+            .groupBy("start")
+            .agg(F.expr(f"min(struct(-ln({draw}) / {far} AS key, `{day}` AS day, v)) AS best"))
+        )
+        for row in drawn.collect():
+            chosen[row["start"]].append(row["best"]["v"])
+    return chosen
+
+
+def best_kmeans(
+    points: DataFrame, ks: tuple[int, ...], starts: int = STARTS, seed: int = SEED, day: str = "date"
+) -> dict[int, list[list[float]]]:
+    """For each k the centres of the cheapest of several k-means runs; equal costs go to the first start.
+
+    ``points`` come from ``fixed_points``, one row for each day, and should be a written table. Each
+    round is one aggregate over the points for all runs that still move: counts and whole sums by run
+    and nearest centre (equally near: the first). A centre that lost its points stays. Fewer different
+    points than k give fewer centres, no points none. The driver holds the centres alone.
+    """
+    first = seeded(points, max(ks), starts, seed, day)
     runs = [(k, start) for k in ks for start in range(starts)]
-    with ThreadPoolExecutor(starts) as pool:
-        models = list(pool.map(fit, runs))
+    centres: list[list[list[float]]] = [[list(map(float, c)) for c in first[start][:k]] for k, start in runs]
+    cost = [Decimal(0)] * len(runs)
+    moving = [run for run, own in enumerate(centres) if own]
+    width = len(centres[moving[0]][0]) if moving else 0
+    for _ in range(MOST_ITERATIONS):
+        if not moving:
+            break
+        sums = (
+            points.select("v", F.posexplode(_nearest([centres[run] for run in moving])).alias("run", "near"))
+            .groupBy("run", "near.cluster")
+            .agg(
+                F.expr(f"sum(CAST(floor(near.far / {UNIT}) AS DECIMAL(20, 0))) AS cost"),
+                F.expr(f"array({', '.join(f'sum(v[{i}])' for i in range(width))}) AS total"),
+                F.count("*").alias("n"),
+            )
+            .collect()
+        )
+        before = {run: centres[run] for run in moving}
+        for run in moving:
+            centres[run] = list(before[run])
+            cost[run] = Decimal(0)
+        for row in sums:
+            run = moving[row["run"]]
+            centres[run][row["cluster"]] = [float(total) / row["n"] for total in row["total"]]
+            cost[run] += row["cost"]
+        moving = [run for run in moving if centres[run] != before[run]]
     return {
-        k: min((m for run, m in zip(runs, models, strict=True) if run[0] == k), key=lambda m: m.summary.trainingCost)
+        k: centres[min((run for run, (size, _) in enumerate(runs) if size == k), key=lambda run: (cost[run], run))]
         for k in ks
     }
 
 
+def labelled(points: DataFrame, centres: list[list[float]], *kept: str) -> DataFrame:
+    """``kept`` columns and ``prediction``, the number of the nearest centre."""
+    return points.select(*kept, _nearest([centres])[0]["cluster"].alias("prediction"))
+
+
 def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     columns = ["point", "label", "other", "distance", "members"]
     if left.empty or right.empty:
@@ -152,19 +220,21 @@ def choose_k(
 
     ``days`` holds one row per calendar day and should be a written table.
     """
-    # a few thousand days are one small partition, so each run's jobs are one task
-    parts = ceil(days.count() / DAYS_PER_PARTITION)
-    featured = with_features(standardized(days, columns), columns).coalesce(max(1, parts)).cache()
-    scores: dict[int, float] = {}
-    best: tuple[int, DataFrame] | None = None
-    for k, model in best_kmeans(featured, candidates).items():
-        points = model.transform(featured).select(day, "prediction", F.array(*columns).alias("values"))
-        labelled = settle(points, "labelled_days")
-        scores[k] = mean_silhouette(labelled, day, "prediction", "values").first()["silhouette"]
-        if best is None or scores[k] > scores[best[0]]:
-            best = (k, labelled.select(day, "prediction"))
-    featured.unpersist()
-    return best[0], scores, best[1]
+    points = settle(fixed_points(standardized(days, columns), columns, day), "points")
+    found = best_kmeans(points, candidates, day=day)
+    values = F.expr(f"transform(v, x -> x / {UNIT}) AS values")
+
+    def scored(k: int) -> tuple[DataFrame, float]:
+        named = settle(labelled(points.select(day, "v", values), found[k], day, "values"), "labelled_days")
+        return named.select(day, "prediction"), mean_silhouette(named, day, "prediction", "values").first()["silhouette"]
+
+    # the candidates are independent jobs, submitted side by side
+    with ThreadPoolExecutor(len(candidates)) as pool:
+        tried = dict(zip(candidates, pool.map(scored, candidates), strict=True))
+    scores = {k: score for k, (_, score) in tried.items()}
+    # a table without days has no score
+    best = max(sorted(candidates), key=lambda k: -2.0 if scores[k] is None else scores[k])
+    return best, scores, tried[best][0]
 
 
 def pattern_table(labelled: DataFrame, day: str = "date") -> DataFrame:

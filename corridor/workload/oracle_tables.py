@@ -240,4 +240,5 @@ def statement(body: str, **extra: str) -> str:
             needed.add(name)
             queue.append(known[name])
     tables = ",\n".join(f"{name} AS ({known[name]})" for name in known if name in needed)
-    return f"WITH {tables}\n{body}" if tables else body
+    recursive = "RECURSIVE " if "UNION ALL" in tables else ""
+    return f"WITH {recursive}{tables}\n{body}" if tables else body

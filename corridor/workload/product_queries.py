@@ -273,13 +273,91 @@ def ml_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places(scores, 6, *HOUR_COLUMNS).select("date", *HOUR_COLUMNS)
 
 
-@query("ml_kmeans")
+def _gap_squares(v: str, c: str) -> str:
+    """The squared distance of two lists, summed from the first hour on."""
+    return " + ".join(f"({v}[{h}] - {c}[{h}]) * ({v}[{h}] - {c}[{h}])" for h in range(1, 25))
+
+
+def _draws(number: int) -> str:
+    """The smallest -ln(draw) / squared distance of each start, and its point appended to the centres."""
+    name = f"(42 + s.start) || ':{number}:' || strftime(p.date, '%Y-%m-%d')"
+    draw = f"(CAST(CAST('0x' || substr(md5({name}), 1, 13) AS BIGINT) AS DOUBLE) + 0.5) / 4503599627370496::DOUBLE"
+    if number == 0:
+        return f"SELECT start, [arg_min(p.v, {{'key': -ln({draw}), 'day': p.date}})] AS cs FROM (SELECT unnest(range(10)) AS start) s, km_points p GROUP BY start"
+    return f"""
+        SELECT start, list_append(ANY_VALUE(cs), arg_min(v, {{'key': key, 'day': date}})) AS cs
+        FROM (SELECT s.start, s.cs, p.v, p.date, -ln({draw}) / far AS key
+              FROM (SELECT start, cs, date, v, list_min(list_transform(cs, lambda c: {_gap_squares("v", "c")})) AS far
+                    FROM km_draw{number - 1}, km_points) p
+              JOIN km_draw{number - 1} s USING (start) WHERE far > 0)
+        GROUP BY start"""
+
+
+def clusters_sql(days: str) -> dict[str, str]:
+    """Seeding as four draws, Lloyd's rounds as a recursion over all runs that still move, and the
+    silhouette of each number of clusters over pairs of days."""
+    near = f"list_transform(cs, lambda c: {_gap_squares('v', 'c')})"
+    means = ", ".join(f"CAST(SUM(v[{h}]) AS DOUBLE) / COUNT(*)" for h in range(1, 25))
+    scores = ", ".join(
+        f'round(COALESCE(("{h}" - AVG("{h}") OVER ()) / NULLIF(STDDEV_POP("{h}") OVER (), 0), 0) * 1000000)'
+        for h in range(24)
+    )
+    return {
+        "km_points": f"SELECT date, CAST([{scores}] AS DOUBLE[]) AS v FROM {days}",
+        **{f"km_draw{number}": _draws(number) for number in range(4)},
+        "km_runs": f"""
+            SELECT 0 AS round, k, start, cs[1:k] AS cs, true AS moved, CAST(0 AS HUGEINT) AS cost
+            FROM km_draw3, (VALUES (3), (4)) sizes(k)
+            UNION ALL
+            SELECT round + 1, k, start, next, next <> cs, total
+            FROM (SELECT round, k, start, cs, total,
+                    list_transform(range(1, k + 1), lambda i: COALESCE(found[i], cs[i])) AS next
+                  FROM (SELECT round, k, start, ANY_VALUE(cs) AS cs, CAST(SUM(cost) AS HUGEINT) AS total,
+                          map_from_entries(list({{'k': cluster, 'v': mean}})) AS found
+                        FROM (SELECT round, k, start, cluster, ANY_VALUE(cs) AS cs, [{means}] AS mean,
+                                SUM(CAST(floor(list_min(far) / 1000000) AS HUGEINT)) AS cost
+                              FROM (SELECT *, list_position(far, list_min(far)) AS cluster
+                                    FROM (SELECT round, k, start, cs, v, {near} AS far
+                                          FROM km_runs, km_points WHERE moved AND round < 300))
+                              GROUP BY round, k, start, cluster)
+                        GROUP BY round, k, start))""",
+        "km_best": """
+            SELECT k, arg_min(cs, {'cost': cost, 'start': start}) AS cs
+            FROM (SELECT * FROM km_runs QUALIFY row_number() OVER (PARTITION BY k, start ORDER BY round DESC) = 1)
+            GROUP BY k""",
+        "km_labels": f"""
+            SELECT k, date, v, CAST(list_position(far, list_min(far)) - 1 AS INTEGER) AS cluster
+            FROM (SELECT k, date, v, {near} AS far FROM km_best, km_points)""",
+        "km_scores": """
+            SELECT k, AVG(CASE WHEN size = 1 THEN 0 ELSE COALESCE((b - a) / NULLIF(GREATEST(a, b), 0), 0) END) AS silhouette
+            FROM (SELECT k, date, MAX(CASE WHEN same THEN members END) AS size,
+                    MAX(CASE WHEN same THEN total / NULLIF(members - 1, 0) END) AS a,
+                    MIN(CASE WHEN NOT same THEN total / members END) AS b
+                  FROM (SELECT p.k, p.date, q.cluster, p.cluster = q.cluster AS same, COUNT(*) AS members,
+                          SUM(list_distance(p.v, q.v)) AS total
+                        FROM km_labels p JOIN km_labels q USING (k) GROUP BY ALL)
+                  GROUP BY 1, 2)
+            GROUP BY 1""",
+        "km_chosen": """
+            SELECT date, cluster, k, round(silhouette, 6) AS silhouette,
+                MIN(date) OVER (PARTITION BY cluster) AS first_day
+            FROM km_labels JOIN km_scores USING (k)
+            WHERE k = (SELECT if(MAX(CASE WHEN k = 4 THEN silhouette END) > MAX(CASE WHEN k = 3 THEN silhouette END), 4, 3)
+                       FROM km_scores)""",
+    }
+
+
+ACTIVITY_CLUSTERS = {"activity_profile": ACTIVITY_PROFILE, **clusters_sql("activity_profile")}
+PATTERNS = "SELECT date, CAST(dense_rank() OVER (ORDER BY first_day) - 1 AS INTEGER) AS pattern_type FROM km_chosen"
+
+
+@query("ml_kmeans", statement("SELECT date, cluster FROM km_labels WHERE k = 3", **ACTIVITY_CLUSTERS))
 def ml_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days of hourly activity in three clusters."""
-    scores = settle(clustering.standardized(activity_profile(spark, sf_dir), HOUR_COLUMNS), "scores")
-    featured = clustering.with_features(scores, HOUR_COLUMNS)
-    model = clustering.best_kmeans(featured, (3,))[3]
-    return model.transform(featured).select("date", F.col("prediction").alias("cluster"))
+    scores = clustering.standardized(activity_profile(spark, sf_dir), HOUR_COLUMNS)
+    points = settle(clustering.fixed_points(scores, HOUR_COLUMNS), "points")
+    centres = clustering.best_kmeans(points, (3,))[3]
+    return clustering.labelled(points, centres, "date").withColumnRenamed("prediction", "cluster")
 
 
 SILHOUETTE = f"""
@@ -308,7 +386,7 @@ def ml_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places(clustering.mean_silhouette(points, "date", "pattern_type", "shares"), 6, "silhouette")
 
 
-@query("ml_select_k")
+@query("ml_select_k", statement("SELECT date, cluster, k, silhouette FROM km_chosen", **ACTIVITY_CLUSTERS))
 def ml_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days of hourly activity under the chosen number of clusters."""
     best, scores, labelled = clustering.choose_k(activity_profile(spark, sf_dir), HOUR_COLUMNS)
@@ -316,11 +394,11 @@ def ml_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date",
         F.col("prediction").alias("cluster"),
         F.lit(best).alias("k"),
-        F.lit(scores[best]).alias("silhouette"),
+        s.rounded(F.lit(scores[best]), 6).alias("silhouette"),
     )
 
 
-@query("ml_pattern_table")
+@query("ml_pattern_table", statement(PATTERNS, **ACTIVITY_CLUSTERS))
 def ml_pattern_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, labelled = clustering.choose_k(activity_profile(spark, sf_dir), HOUR_COLUMNS)
     return clustering.pattern_table(labelled)
@@ -631,7 +709,19 @@ def prod_daily_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_profile(silver_trips(spark, sf_dir))
 
 
-@query("prod_date_patterns")
+REGION_PROFILE = {
+    **STUDY,
+    "region_trips": IN_ZONE.format(zones="zones_inside"),
+    "region_shares": """
+        SELECT date, hour, hour_trips / NULLIF(SUM(hour_trips) OVER (PARTITION BY date), 0) AS share
+        FROM (SELECT date, period AS hour, SUM(travels) AS hour_trips FROM region_trips GROUP BY 1, 2)""",
+    "region_profile": "SELECT date, "
+    + ", ".join(f'COALESCE(SUM(share) FILTER (hour = {h}), 0.0) AS "{h}"' for h in range(24))
+    + " FROM region_shares GROUP BY date",
+}
+
+
+@query("prod_date_patterns", statement(PATTERNS, **REGION_PROFILE, **clusters_sql("region_profile")))
 def prod_date_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days of the trips inside the study area."""
     trips = gold.trips_in_region(silver_trips(spark, sf_dir), geometries(spark, sf_dir))

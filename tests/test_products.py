@@ -123,6 +123,36 @@ def test_silhouette_of_a_single_point_cluster_is_zero(spark):
     assert found[3] == 0.0 and abs(found[1] - 8 / 9) < 1e-12
 
 
+def test_kmeans_does_not_depend_on_partitions_and_ends_at_rest(spark):
+    days = [
+        (date(2023, 1, 1) + timedelta(days=i), [1_000_000 * (i % 3) + i * i % 97, 1_000_000 * (i % 2) + i * i % 89])
+        for i in range(40)
+    ]
+    table = spark.createDataFrame(days, "date date, v array<bigint>")
+    found = [clustering.best_kmeans(table.repartition(parts), (2, 3, 4)) for parts in (1, 5)]
+    assert found[0] == found[1]
+    for k, centres in found[0].items():
+        assert len(centres) == k
+        nearest = [
+            min(range(k), key=lambda c: (sum((x - y) ** 2 for x, y in zip(v, centres[c], strict=True)), c)) for _, v in days
+        ]
+        # every centre is the mean of the days that are nearest to it
+        for c in range(k):
+            own = [v for (_, v), near in zip(days, nearest, strict=True) if near == c]
+            assert centres[c] == [sum(part) / len(own) for part in zip(*own, strict=True)]
+        told = {r["date"]: r["prediction"] for r in clustering.labelled(table, centres, "date").collect()}
+        assert [told[d] for d, _ in days] == nearest
+
+
+def test_kmeans_of_few_or_no_days(spark):
+    same = spark.createDataFrame([(date(2023, 1, i + 1), [5, 5]) for i in range(4)], "date date, v array<bigint>")
+    assert clustering.best_kmeans(same, (3,)) == {3: [[5.0, 5.0]]}
+    assert clustering.best_kmeans(same.limit(0), (3, 4)) == {3: [], 4: []}
+    empty = spark.createDataFrame([], "date date, a double, b double")
+    k, scores, labelled = clustering.choose_k(empty, ["a", "b"])
+    assert (k, scores, labelled.count()) == (3, {3: None, 4: None}, 0)
+
+
 def test_date_patterns_find_three_groups(spark):
     def day(i):
         peak = (4, 11, 19)[i % 3]

@@ -14,7 +14,6 @@ import __spark_entry__ as contract  # noqa: E402
 from compare import TABLES, canonical  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW_WITHOUT_TWIN = {"ml_select_k", "ml_pattern_table", "prod_date_patterns"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="needs the driver's tables")
 
@@ -36,7 +35,7 @@ def test_query_equals_its_twin(spark, duck, key):
     assert canonical(got) == canonical(want)
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries().keys() - contract.oracle_sql().keys() - SLOW_WITHOUT_TWIN))
+@pytest.mark.parametrize("key", sorted(contract.queries().keys() - contract.oracle_sql().keys()))
 def test_query_without_twin_gives_rows(spark, key):
     assert contract.queries()[key](spark, SF_DIR).count() > 0
 
