@@ -30,6 +30,7 @@ CANDIDATE_K = (3, 4)
 UNIT = 1_000_000
 
 POINTS_PER_BLOCK = 1024
+POINTS_PER_TASK = 256
 MOST_TASKS = 20_000
 
 
@@ -220,7 +221,9 @@ def choose_k(
 
     ``days`` holds one row per calendar day and should be a written table.
     """
-    points = settle(fixed_points(standardized(days, columns), columns, day), "points")
+    # a point is compared with the centres of all runs at once, so a task takes few of them
+    parts = max(1, ceil(days.count() / POINTS_PER_TASK))
+    points = settle(fixed_points(standardized(days, columns), columns, day).repartition(parts, day), "points")
     found = best_kmeans(points, candidates, day=day)
     values = F.expr(f"transform(v, x -> x / {UNIT}) AS values")
 

@@ -409,6 +409,23 @@ def agg_approx_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_generation.mobility_patterns(silver_trips(spark, sf_dir))
 
 
+@query(
+    "agg_median_sketches",
+    statement(
+        f"""SELECT period, {DAY_TYPE.format('date')} AS day_type, SUM(travels) AS total_trips,
+              COUNT(travels) AS n, true AS within_bound FROM silver_trips GROUP BY ALL"""
+    ),
+)
+def agg_median_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians merged from a stored table of daily sketches, held against exact ranks."""
+    trips = settle(silver_trips(spark, sf_dir).select("date", "period", "travels"), "trips")
+    states = settle(aggregates.median_states(trips), "median_states")
+    medians = settle(aggregates.medians_from_states(states), "medians")
+    found = aggregates.median_rank_errors(trips, medians)
+    within = F.col("rank_error") <= aggregates.MOST_RANK_ERROR
+    return found.select("period", "day_type", "total_trips", "n", within.alias("within_bound"))
+
+
 @query(
     "agg_exact_median",
     """SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.5) AS median_price

@@ -227,3 +227,34 @@ def test_mean_gap_by_zone_with_doubled_outline(spark):
     gaps = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 2.0), ("b", 4.0)], "origin_id string, gap_ratio double")
     outlines = spark.createDataFrame([("a", "P1"), ("a", "P1"), ("b", "P2"), ("b", "P3")], "distrito_id string, geometria string")
     assert rows(aggregates.mean_gap_by_zone(gaps, outlines)) == [("a", 1.5, "P1"), ("b", 4.0, "P2"), ("b", 4.0, "P3")]
+
+
+def test_median_states_merge_to_any_range_and_replace_a_day(spark):
+    def trips(day, values):
+        return [(date(2023, 5, day), 7, v) for v in values]
+
+    # a Monday, a Tuesday, a Saturday
+    table = spark.createDataFrame(
+        trips(1, [float(v) for v in range(5000)])
+        + trips(2, [float(v) for v in range(5000, 10000)] + [None])
+        + trips(6, [3.0, 3.0, 3.0])
+        + [(date(2023, 5, 7), 9, None)],
+        "date date, period int, travels double",
+    )
+    states = aggregates.median_states(table)
+    medians = aggregates.medians_from_states(states)
+    found = {(r["period"], r["day_type"]): r for r in aggregates.median_rank_errors(table, medians).collect()}
+    week = found[7, "Weekday"]
+    assert week["n"] == 10000 and week["total_trips"] == sum(range(10000))
+    assert abs(week["median_trips_per_hour"] - 5000) <= 10000 * aggregates.MOST_RANK_ERROR
+    # the counted error is that of the value itself
+    assert abs(week["rank_error"] - abs(week["median_trips_per_hour"] - 5000) / 10000) <= 0.0002
+    assert (found[7, "Weekend"]["median_trips_per_hour"], found[7, "Weekend"]["rank_error"]) == (3.0, 0.0)
+    assert (found[9, "Weekend"]["n"], found[9, "Weekend"]["median_trips_per_hour"]) == (0, None)
+    one = aggregates.medians_from_states(states, "2023-05-02", "2023-05-02").collect()
+    assert len(one) == 1 and abs(one[0]["median_trips_per_hour"] - 7500) <= 5000 * aggregates.MOST_RANK_ERROR
+    late = spark.createDataFrame(trips(2, [1.0]), table.schema)
+    renewed = states.filter("date <> DATE'2023-05-02'").unionByName(aggregates.median_states(late))
+    again = {(r["period"], r["day_type"]): r["n"] for r in aggregates.medians_from_states(renewed).collect()}
+    assert again[7, "Weekday"] == 5001
+    assert aggregates.medians_from_states(states.limit(0)).count() == 0
