@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corridor.functions.scalars import item, number_or_null
 from corridor.schemas import SERIES_DOCUMENT
+from corridor.sources import json_arrays
 
 # The metadata entries (1-based position, field, value) that pick
 # a series out of the published files.
@@ -24,12 +25,13 @@ POPULATION_SERIES = [
 def read_documents(spark: SparkSession, path: str, one_array_per_file: bool = True) -> DataFrame:
     """The documents of JSON arrays, gzip or plain.
 
-    A published file is one array over many lines, which a single task must
-    parse; the rows are spread out again right after. Files landed with one
-    array (or document) per line are split and need no spreading.
+    A published file is one array, over many lines or in one; ``json_arrays`` cuts its
+    elements out by many tasks. Files landed with one array (or document) per line are
+    split by lines.
     """
-    documents = spark.read.schema(SERIES_DOCUMENT).option("multiLine", one_array_per_file).json(path)
-    return documents.repartition(spark.sparkContext.defaultParallelism) if one_array_per_file else documents
+    if one_array_per_file:
+        return json_arrays.documents(spark, path, SERIES_DOCUMENT)
+    return spark.read.schema(SERIES_DOCUMENT).json(path)
 
 
 def meta_is(position: int, field: str, value: str) -> Column:

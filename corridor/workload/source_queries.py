@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corridor.functions import wkt
 from corridor.operators import filters
+from corridor.plans import bronze
 from corridor.schemas import RAW_TRIPS, RELATION, TRIP_FIELDS, strings
 from corridor.session import new_path
 from corridor.sources import calendar as calendars
@@ -102,23 +103,59 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.read_documents(spark, land_documents(spark, sf_dir), one_array_per_file=False)
 
 
-@query(
-    "scan_nested_json",
-    statement(
-        """SELECT seccion AS codigo, CAST(CASE WHEN ANY_VALUE(last) = '5' THEN 2 ELSE 5 END AS INTEGER) AS meta_entries,
+INCOME_FILTER = "last NOT IN ('9', '7', '5')"
+
+SHAPES = statement(
+    """SELECT seccion AS codigo, CAST(CASE WHEN ANY_VALUE(last) = '5' THEN 2 ELSE 5 END AS INTEGER) AS meta_entries,
              CAST(CASE WHEN ANY_VALUE(last) = '1' THEN 0 ELSE COUNT(*) END AS INTEGER) AS data_points
-           FROM documents_flat GROUP BY seccion"""
-    ),
+       FROM documents_flat GROUP BY seccion"""
 )
-def scan_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).select(
+
+
+def shapes(documents: DataFrame) -> DataFrame:
+    return documents.select(
         F.get("MetaData", F.lit(0))["Codigo"].alias("codigo"),
         F.size("MetaData").alias("meta_entries"),
         F.size("Data").alias("data_points"),
     )
 
 
-INCOME_FILTER = "last NOT IN ('9', '7', '5')"
+@query("scan_nested_json", SHAPES)
+def scan_nested_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shapes(documents(spark, sf_dir))
+
+
+def land_arrays(spark: SparkSession, sf_dir: str, compression: str) -> str:
+    """Statistical documents as published: each file is one array over many lines."""
+    path = new_path(spark, "arrays")
+    texts = t.series_documents(spark, sf_dir).select(
+        F.floor(F.col("MetaData")[0]["Codigo"].cast("bigint") / 512).alias("file"),
+        F.to_json(F.struct("MetaData", "Data"), {"pretty": "true"}).alias("text"),
+    )
+    first = F.row_number().over(Window.partitionBy("file").orderBy("text")) == 1
+    lines = texts.withColumn("text", F.concat(F.when(first, "[").otherwise(","), "text")).withColumn("place", F.lit(0))
+    ends = texts.select("file", F.lit("]").alias("text"), F.lit(1).alias("place")).distinct()
+    ordered = lines.unionByName(ends).repartition("file").sortWithinPartitions("file", "place", F.col("text").startswith(","))
+    ordered.drop("place").write.partitionBy("file").option("compression", compression).text(path)
+    return path
+
+
+@query("scan_json_arrays", SHAPES)
+def scan_json_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are one array over many lines each."""
+    return shapes(series.read_documents(spark, land_arrays(spark, sf_dir, "none")))
+
+
+@query(
+    "scan_json_arrays_packed",
+    statement(
+        f"""SELECT seccion AS codigo, fecha, TRY_CAST(valor AS DOUBLE) AS valor FROM documents_flat
+            WHERE last <> '1' AND {INCOME_FILTER}"""
+    ),
+)
+def scan_json_arrays_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The income series out of gzip files that are one array each."""
+    return bronze.income(spark, land_arrays(spark, sf_dir, "gzip"))
 
 
 @query(
