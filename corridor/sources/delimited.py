@@ -94,4 +94,9 @@ def read_detected(spark: SparkSession, path: str | list[str], schema: StructType
 def _as_path(file: str) -> str:
     """A file's address as a path to read: the metadata escapes it like a URL, and
     the reader takes some characters for patterns."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(file))
+    return plain_path(unquote(file))
+
+
+def plain_path(path: str) -> str:
+    """A path in which the reader takes no character for a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)

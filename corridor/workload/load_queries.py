@@ -11,6 +11,7 @@ from corridor.schemas import TRIP_DIMENSIONS
 from corridor.session import new_database, new_path, settle
 from corridor.sources import feed
 from corridor.streaming.daily import ingest_days
+from corridor.streaming.published import ingest_published, missing_parts
 from corridor.workload import tables as t
 from corridor.workload.oracle_tables import statement
 from corridor.workload.registry import query
@@ -223,6 +224,67 @@ def stream_daily_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).select("event_id", "hour", "value", "date")
 
 
+QUARTERS = ("actividad_0", "actividad_1", "actividad_2", "actividad_3")
+
+
+def _publish(events: DataFrame, folder: str) -> None:
+    """Files under flat names, one for each day and quarter of a day."""
+    spark = events.sparkSession
+    written = new_path(spark, "published")
+    name = F.concat(F.date_format("date", "yyyyMMdd"), F.lit("_actividad_"), F.floor(F.col("hour") / 6))
+    named = events.withColumn("name", name).drop("date").repartition("name")
+    named.write.partitionBy("name").option("header", True).csv(written)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop.Path(folder))
+    for row in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(written).select("path", "name").collect():
+        files.rename(hadoop.Path(row["path"]), hadoop.Path(f"{folder}/{row['name']}.csv"))
+
+
+def _published_twice(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Quarters of days arrive twice: late ones complete their day, others never come. Table and ledger."""
+    base, database = new_path(spark, "flat"), new_database(spark)
+    table, ledger = f"{database}.activity", f"{database}.ledger"
+    events = settle(t.activity(spark, sf_dir).select("event_id", "hour", "value", "date"), "events")
+    loads.create_if_absent(loads.empty_like(events), table, ["date"])
+    quarter, day = F.floor(F.col("hour") / 6), F.dayofmonth("date")
+    never = (day % 7 == 5) & (quarter == 3)
+    late = (day % 7 == 3) & (quarter == 2)
+    schema = events.drop("date").schema
+    for arrival in (events.filter(~never & ~late), events.filter(late)):
+        _publish(arrival, f"{base}/landing")
+        ingest_published(
+            spark, f"{base}/landing", schema, table, ledger, f"{base}/checkpoint", QUARTERS, header=True
+        )
+    return spark.table(table), spark.table(ledger)
+
+
+@query(
+    "stream_published_days",
+    statement(
+        """SELECT event_id, hour, value, date FROM activity WHERE day(date) % 7 <> 5
+             AND date IN (SELECT date FROM activity GROUP BY date HAVING COUNT(DISTINCT hour // 6) = 4)"""
+    ),
+)
+def stream_published_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days all of whose files have come."""
+    return _published_twice(spark, sf_dir)[0].select("event_id", "hour", "value", "date")
+
+
+@query(
+    "stream_missing_parts",
+    statement(
+        """SELECT date AS day, 'actividad_' || q AS part
+           FROM (SELECT DISTINCT date FROM activity), (SELECT unnest(range(4)) AS q)
+           WHERE (day(date) % 7 = 5 AND q = 3)
+              OR (date, q) NOT IN (SELECT (date, hour // 6) FROM activity)"""
+    ),
+)
+def stream_missing_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger still waits for."""
+    return missing_parts(_published_twice(spark, sf_dir)[1], QUARTERS)
+
+
 @query(
     "prod_bronze_trips",
     statement(f"SELECT {', '.join(TRIP_DIMENSIONS)}, travels, round(travels_km, 2) AS travels_km FROM weekly_bronze"),
