@@ -28,6 +28,12 @@ UTM30_MERIDIAN = -3.0
 UTM_SCALE = 0.9996
 UTM_FALSE_EASTING = 500000.0
 
+# Arc on the auxiliary sphere from which on the azimuth is searched.
+NEARLY_HALF_TURN = 3.0
+# Nodes of the integrals along a geodesic, and halvings of the azimuth's half turn.
+NODES = 32
+HALVINGS = 60
+
 Vertex = tuple[float, float]
 
 
@@ -71,14 +77,64 @@ def _vincenty(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.nda
             lam = longer
             if not np.nanmax(moved, initial=0.0) > 1e-13:
                 break
-    # nearly antipodal points do not settle: they have no distance, the others keep theirs
-    unsettled = moved > 1e-13
+    # among nearly antipodal points some do not settle, others lose digits
+    unsettled = ~(moved <= 1e-13) | (sigma > NEARLY_HALF_TURN)
     usq = cos2_alpha * (a * a - b * b) / (b * b)
     big_a = 1 + usq / 16384 * (4096 + usq * (-768 + usq * (320 - 175 * usq)))
     big_b = usq / 1024 * (256 + usq * (-128 + usq * (74 - 47 * usq)))
     cubic = cos_2m / 6 * big_b * (4 * s**2 - 3) * (4 * cos_2m**2 - 3)
     bend = big_b * s * (cos_2m + big_b / 4 * (c * (2 * cos_2m**2 - 1) - cubic))
-    return np.where(unsettled, np.nan, b * big_a * (sigma - bend))
+    metres = b * big_a * (sigma - bend)
+    known = unsettled & ~np.isnan(lon1 + lat1 + lon2 + lat2)
+    if known.any():
+        metres[known] = _by_azimuth(*(part[known] for part in (lon1, lat1, lon2, lat2)))
+    return metres
+
+
+def _by_azimuth(lon1: np.ndarray, lat1: np.ndarray, lon2: np.ndarray, lat2: np.ndarray) -> np.ndarray:
+    """Geodesic metres by searching the azimuth at which a geodesic must start; for any pair of points.
+
+    With the point farther from the equator first and in the south, the difference of longitude at
+    which a geodesic meets the other point's latitude grows with its azimuth from 0 to 180 degrees,
+    so halving finds the one wanted. Longitude and length are integrals along the great circle of the
+    auxiliary sphere, smooth enough for a fixed number of nodes.
+    """
+    a, f = WGS84_AXIS, WGS84_FLATTENING
+    b = a * (1 - f)
+    span = np.abs(np.remainder(np.radians(lon2 - lon1) + np.pi, 2 * np.pi) - np.pi)
+    u = np.arctan((1 - f) * np.tan(np.radians(np.stack([lat1, lat2]))))
+    far = np.abs(u[0]) >= np.abs(u[1])
+    start, end = np.where(far, u[0], u[1]), np.where(far, u[1], u[0])
+    flip = np.where(start > 0, -1.0, 1.0)
+    # on the equator itself: just south of it
+    start, end = np.minimum(start * flip, -1e-200), end * flip
+    ss, cs, se, ce = np.sin(start), np.cos(start), np.sin(end), np.cos(end)
+    nodes, weights = np.polynomial.legendre.leggauss(NODES)
+
+    def meets(azimuth: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Difference of longitude and length of the geodesic up to the other latitude, and metres a radian
+        by which the length grows with that difference."""
+        sin_az, cos_az = np.sin(azimuth), np.cos(azimuth)
+        sin0 = sin_az * cs
+        cos0 = np.hypot(cos_az, sin_az * ss)
+        arrive = np.sqrt((cos_az * cs) ** 2 + np.maximum((cs - ce) * (cs + ce) * -1.0, 0.0))
+        s1, s2 = np.arctan2(ss, cos_az * cs), np.arctan2(se, arrive)
+        w1 = np.arctan2(sin0 * np.sin(s1), np.cos(s1))
+        w2 = np.arctan2(sin0 * np.sin(s2), np.cos(s2))
+        half = (s2 - s1) / 2
+        at = half[:, None] * nodes + ((s1 + s2) / 2)[:, None]
+        stretch = np.sqrt(1 + (cos0**2 * (a * a - b * b) / (b * b))[:, None] * np.sin(at) ** 2)
+        lag = f * sin0 * half * ((2 - f) / (1 + (1 - f) * stretch) @ weights)
+        return w2 - w1 - lag, b * half * (stretch @ weights), a * sin0
+
+    low, high = np.zeros_like(span), np.full_like(span, np.pi)
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        short = meets(middle)[0] < span
+        low, high = np.where(short, middle, low), np.where(short, high, middle)
+    # beside the equator a last bit of the azimuth is metres; along it every azimuth but one is too long or too short
+    reached, metres, slope = meets(high)
+    return metres - slope * (reached - span)
 
 
 @F.pandas_udf(DoubleType())
@@ -90,7 +146,7 @@ def _spheroid(
 
 
 def spheroid_distance(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:
-    """Geodesic metres on the WGS84 ellipsoid; input outside lon/lat range fails."""
+    """Geodesic metres on the WGS84 ellipsoid, antipodal points included; input outside lon/lat range fails."""
     degrees = [_checked(lon1, 180.0), _checked(lat1, 90.0), _checked(lon2, 180.0), _checked(lat2, 90.0)]
     return _spheroid(*degrees)
 

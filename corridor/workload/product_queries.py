@@ -144,6 +144,35 @@ def st_distance_haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places(half, 3, "distance_meters")
 
 
+def _meridian_sql(term: str, n: int) -> str:
+    """The sum over 0 to n of a weight times the meridian's radius over the axis at some latitude."""
+    e2 = "(1 / 298.257223563::DOUBLE * (2 - 1 / 298.257223563::DOUBLE))"
+    weight, latitude = term.split("|")
+    return f"""list_sum(list_transform(range({n + 1}), lambda i:
+        ({weight}) * (1 - {e2}) / power(1 - {e2} * power(sin({latitude}), 2), 1.5::DOUBLE)))"""
+
+
+@query(
+    "st_distance_antipodal",
+    statement(
+        f"""SELECT vec_id, round(6378137.0::DOUBLE * (
+              {_meridian_sql("CASE WHEN i IN (0, 64) THEN 0.5 ELSE 1.0 END::DOUBLE|i * pi() / 128", 64)} * pi() / 64
+              - abs(off) / 96 * {_meridian_sql("CASE WHEN i IN (0, 32) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END::DOUBLE|lat - off * i / 32", 32)}
+            ), 2) AS distance_meters
+            FROM (SELECT vec_id, radians(((y % 160001) + 160001) % 160001 / 2000.0::DOUBLE - 40) AS lat,
+                    radians((vec_id % 7 - 3)::DOUBLE) AS off FROM vector_points)"""
+    ),
+)
+def st_distance_antipodal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From every vector's point to one on the opposite meridian, up to three degrees from its antipode."""
+    lon, lat = F.expr("pmod(x, 360001) / 1000.0D - 180"), F.expr("pmod(y, 160001) / 2000.0D - 40")
+    points = t.vector_points(spark, sf_dir).select("vec_id", lon.alias("lon"), lat.alias("lat"))
+    over = F.when(F.col("lon") > 0, F.col("lon") - 180).otherwise(F.col("lon") + 180)
+    beyond = F.pmod("vec_id", F.lit(7)) - 3 - F.col("lat")
+    apart = spatial.spheroid_distance(F.col("lon"), F.col("lat"), over, beyond)
+    return places(points.select("vec_id", apart.alias("distance_meters")), 2, "distance_meters")
+
+
 def _vincenty_sql() -> dict[str, str]:
     """The ellipsoid series unrolled: eight rounds are ample at these distances."""
     f, a = "(1 / 298.257223563::DOUBLE)", "6378137.0::DOUBLE"

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import date
 from math import isclose
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -134,6 +135,38 @@ def test_spheroid_known_distances(spark):
         points.select(spatial.spheroid_distance(F.lit(500000.0), *ends[1:])).collect()
 
 
+def test_spheroid_antipodal_distances(spark):
+    # published values of nearly antipodal pairs, and half a meridian
+    points = spark.createDataFrame(
+        [(0.0, 0.0, 179.5, 0.5, 19936288.579), (0.0, 0.0, 179.7, 0.5, 19944127.421), (0.0, -30.0, 179.8, 29.9, 19989832.828),
+         (0.0, 0.0, 180.0, 0.0, 20003931.459), (0.0, 90.0, 7.0, -90.0, 20003931.459), (10.0, 30.0, -170.0, -30.0, 20003931.459),
+         (179.9, 0.0, -179.9, 0.0, 22263.898), (0.0, 0.0, 179.3, 0.0, 19959584.699),
+         (None, 0.0, 180.0, 0.0, None)],
+        "lon1 double, lat1 double, lon2 double, lat2 double, want double",
+    )
+    there = [F.col(name) for name in ("lon1", "lat1", "lon2", "lat2")]
+    found = points.select("want", spatial.spheroid_distance(*there).alias("got"), spatial.spheroid_distance(*there[2:], *there[:2]).alias("back"))
+    for row in found.collect():
+        if row["want"] is None:
+            assert row["got"] is None
+        else:
+            assert abs(row["got"] - row["want"]) < 0.001 and abs(row["back"] - row["got"]) < 1e-6
+
+
+def test_spheroid_methods_agree():
+    rng = np.random.default_rng(5)
+    lon = rng.uniform(-180, 180, (2, 5000))
+    lat = np.degrees(np.arcsin(rng.uniform(-1, 1, (2, 5000))))
+    ends = (lon[0], lat[0], lon[1], lat[1])
+    assert np.abs(spatial._vincenty(*ends) - spatial._by_azimuth(*ends)).max() < 0.001
+    # all pairs around the antipode have a distance, the same from both ends
+    over = (lon[0] + 360 + rng.uniform(-1, 1, 5000)) % 360 - 180
+    back = np.clip(rng.uniform(-1, 1, 5000) - lat[0], -90, 90)
+    there, again = spatial._vincenty(lon[0], lat[0], over, back), spatial._vincenty(over, back, lon[0], lat[0])
+    assert np.abs(there - again).max() < 1e-6
+    assert there.max() < 20003931.459 and there.min() > 19_800_000
+
+
 def test_vertices_round_trip(spark):
     text = "POLYGON ((0 0, 10.5 0, 10.5 -7.25, 0 0), (1 1, 2 1, 2 2, 1 1))"
     zones = spark.createDataFrame([("z", text)], "id string, geom string")
