@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corridor.functions.scalars import iso_date
 from corridor.operators.aggregates import by_all_dimensions
 from corridor.operators.loads import create_if_absent, replace_days
-from corridor.schemas import BRONZE_TRIPS, CALENDAR, RAW_TRIPS, RELATION, ZONE_NAMES
+from corridor.schemas import BRONZE_TRIPS, CALENDAR, PROVINCES, RAW_TRIPS, RELATION, ZONE_NAMES, ZONE_PEOPLE
 from corridor.sources import delimited, geometry, series
 
 # The columns kept of each reference file.
@@ -19,6 +19,9 @@ DIMENSIONS = {
     "bronze_gaus_nombres": ZONE_NAMES.fieldNames(),
     "bronze_municipios_nombres": ZONE_NAMES.fieldNames(),
     "bronze_relacion_ine": RELATION.fieldNames(),
+    "bronze_poblacion_distritos": ZONE_PEOPLE.fieldNames(),
+    "bronze_poblacion_gaus": ZONE_PEOPLE.fieldNames(),
+    "bronze_provincias": PROVINCES.fieldNames(),
 }
 
 

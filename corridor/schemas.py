@@ -52,6 +52,8 @@ BRONZE_TRIPS = _table(
 )
 
 ZONE_NAMES = strings("ID", "name")
+ZONE_PEOPLE = strings("ID", "population")
+PROVINCES = strings("province_id", "province")
 RELATION = strings(
     "seccion_ine", "distrito_ine", "municipio_ine", "distrito_mitma", "municipio_mitma", "gau_mitma"
 )

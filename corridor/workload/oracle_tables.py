@@ -194,6 +194,7 @@ TABLES: dict[str, str] = {
             CAST(value AS DECIMAL(18, 2)) AS value FROM events""",
     "feed": """
         SELECT CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 1 THEN 'nombres_distritos.csv'
+                    WHEN o_orderkey % 25 = 7 THEN 'zonificacion_distritos.zip'
                     ELSE strftime(o_orderdate, '%Y%m%d') || '_Viajes_'
                       || CASE o_orderkey % 3 WHEN 0 THEN 'distritos' WHEN 1 THEN 'GAU' ELSE 'municipios' END
                       || '.csv.gz' END AS title,
@@ -204,7 +205,7 @@ TABLES: dict[str, str] = {
         FROM orders""",
     "trip_feed": """
         SELECT link AS url, 'bronze_mitma_viajes_' || level AS "table", day, pos FROM feed
-        WHERE title <> 'nombres_distritos.csv' AND contains(link, 'estudios_basicos')""",
+        WHERE contains(title, '_Viajes_') AND contains(link, 'estudios_basicos')""",
     "holiday_list": """
         SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders
         WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 400000""",

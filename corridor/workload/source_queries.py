@@ -230,13 +230,16 @@ def landed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     statement(
         """SELECT url, "table", day FROM trip_feed
            UNION ALL SELECT link, 'bronze_distritos_nombres', CAST(NULL AS DATE) FROM feed
-           WHERE title = 'nombres_distritos.csv'"""
+           WHERE title = 'nombres_distritos.csv'
+           UNION ALL SELECT link, 'bronze_zona_distritos', CAST(NULL AS DATE) FROM feed
+           WHERE title = 'zonificacion_distritos.zip'"""
     ),
 )
 def feed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = landed_feed(spark, sf_dir)
     daily = feed.trip_files(items).select("url", "table", "day")
-    fixed = feed.dimension_files(items).withColumn("day", F.lit(None).cast("date"))
+    titles = feed.DIMENSION_TITLES | feed.GEOMETRY_TITLES
+    fixed = feed.dimension_files(items, titles).withColumn("day", F.lit(None).cast("date"))
     return daily.unionByName(fixed)
 
 

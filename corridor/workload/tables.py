@@ -224,9 +224,10 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feed item per order: daily files of three levels; some links lack the
-    marker, some items name a dimension file."""
+    marker, some items name a dimension file or an archive of outlines."""
     return load(spark, sf_dir, "orders").selectExpr(
         """CASE WHEN o_orderstatus = 'P' AND o_orderkey % 10 = 1 THEN 'nombres_distritos.csv'
+           WHEN o_orderkey % 25 = 7 THEN 'zonificacion_distritos.zip'
            ELSE concat(date_format(o_orderdate, 'yyyyMMdd'), '_Viajes_',
                 CASE o_orderkey % 3 WHEN 0 THEN 'distritos' WHEN 1 THEN 'GAU' ELSE 'municipios' END,
                 '.csv.gz') END AS title""",

@@ -96,6 +96,18 @@ def test_dimension_file_keeps_zeros_and_cuts_columns(spark, tmp_path):
     assert rows(table) == [("01", None), ("01", "NA")]
 
 
+@pytest.mark.parametrize(
+    ("table", "text", "want"),
+    [
+        ("bronze_poblacion_distritos", "ID|population|note\n01|500|x\n02||\n", [("01", "500"), ("02", None)]),
+        ("bronze_poblacion_gaus", "population|ID\n7|G1\n", [("G1", "7")]),
+        ("bronze_provincias", "province_id|province\n08|Barcelona\n", [("08", "Barcelona")]),
+    ],
+)
+def test_people_and_provinces(spark, tmp_path, table, text, want):
+    assert rows(bronze.dimension(spark, table, write(tmp_path / "d.csv", text))) == want
+
+
 META = [
     {"T3_Variable": "Secciones", "Codigo": "0101", "Nombre": "s"},
     {"T3_Variable": "x", "Codigo": "", "Nombre": "y"},
