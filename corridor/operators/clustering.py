@@ -163,33 +163,80 @@ def _block_sums(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     )
 
 
+def _rival_clusters(keyed: DataFrame) -> tuple[DataFrame, list[dict]]:
+    """The points with ``rivals``, their own cluster and every other that may be the nearest on average;
+    and the clusters, which are all the driver holds.
+
+    The mean distance of a point from a cluster's members is at least its distance from their centre,
+    and at most the root of that distance squared plus the members' mean squared distance from the
+    centre. A cluster whose least is above the smallest most of the others cannot be the nearest.
+    """
+    by_place = keyed.select("label", F.posexplode("v").alias("place", "x"))
+    fitted = by_place.groupBy("label", "place").agg(F.avg("x").alias("mean"), F.var_pop("x").alias("spread"), F.count("*").alias("n"))
+    clusters = fitted.groupBy("label").agg(
+        F.sort_array(F.collect_list(F.struct("place", "mean")))["mean"].alias("centre"),
+        F.sum("spread").alias("spread"),
+        F.max("n").alias("n"),
+    )
+    held = sorted((row.asDict() for row in clusters.collect()), key=lambda cluster: cluster["label"])
+    known = F.expr(f"from_json('{json.dumps(held)}', 'array<struct<label int, centre array<double>, spread double, n bigint>>')")
+    far = "aggregate(zip_with(v, c.centre, (x, y) -> (x - y) * (x - y)), 0.0D, (a, b) -> a + b)"
+    bounds = F.expr(
+        f"transform(known, c -> struct(c.label AS label, c.n AS n, sqrt({far}) AS least, sqrt({far} + c.spread) AS most))"
+    )
+    # rounding must not lose the nearest
+    rivals = F.expr(
+        """filter(bounds, c -> c.label = label OR c.least <= (1 + 1e-9D) * array_min(
+            transform(filter(bounds, o -> o.label <> label), o -> o.most)))"""
+    )
+    return keyed.withColumn("known", known).withColumn("bounds", bounds).withColumn("rivals", rivals).drop("known", "bounds"), held
+
+
+def _silhouette_points(points: DataFrame, point: str, label: str, values: str) -> DataFrame:
+    return points.select(
+        F.col(point).alias("point"),
+        F.col(label).cast("int").alias("label"),
+        F.col(values).cast("array<double>").alias("v"),
+    )
+
+
+def silhouette_work(points: DataFrame, point: str, label: str, values: str) -> DataFrame:
+    """(compared, pairs): distances that ``silhouette_samples`` takes, of all there are."""
+    bounded, held = _rival_clusters(_silhouette_points(points, point, label, values))
+    every = sum(cluster["n"] for cluster in held)
+    own = F.expr("aggregate(rivals, 0L, (sum, c) -> sum + c.n)")
+    return bounded.agg(F.coalesce(F.sum(own), F.lit(0)).alias("compared"), F.lit(every * every).cast("bigint").alias("pairs"))
+
+
 def silhouette_samples(
     points: DataFrame, point: str, label: str, values: str, per_block: int = POINTS_PER_BLOCK
 ) -> DataFrame:
     """(point, label, silhouette) with plain Euclidean distances, exactly.
 
-    Points are hashed into blocks. Each pair of blocks is one small task that
-    returns, per point, the summed distance to every cluster in the other block:
-    no pair of points is ever a row. Points in a cluster of their own score 0.
+    A point is compared with its own cluster and with those that may be its nearest
+    (``_rival_clusters``). The points of a cluster are hashed into blocks. Each pair of
+    blocks is one small task that returns, per point, the summed distance to the other
+    block: no pair of points is ever a row. Points in a cluster of their own score 0.
     """
-    blocks = max(1, ceil(points.count() / per_block))
-    every = F.sequence(F.lit(0), F.lit(blocks - 1))
-    keyed = points.select(
-        F.col(point).alias("point"),
-        F.col(label).cast("int").alias("label"),
-        F.col(values).cast("array<double>").alias("v"),
-        F.pmod(F.xxhash64(point), F.lit(blocks)).cast("int").alias("block"),
+    bounded, held = _rival_clusters(_silhouette_points(points, point, label, values))
+    blocks = f"CAST(ceil(rival.n / {per_block}) AS INT)"
+    own = F.expr("filter(rivals, c -> c.label = label)[0]").alias("rival")
+    keyed = bounded.select("*", own).withColumn("block", F.expr(f"CAST(pmod(xxhash64(point), {blocks}) AS INT)"))
+    tasks = min(max(1, sum(cluster["n"] for cluster in held) // per_block) ** 2, MOST_TASKS)
+    keys = ["mine", "block", "other", "partner"]
+    left = (
+        keyed.withColumn("mine", F.col("label"))
+        .withColumn("rival", F.explode("rivals"))
+        .withColumn("other", F.col("rival.label"))
+        .withColumn("partner", F.explode(F.expr(f"sequence(0, {blocks} - 1)")))
+        .drop("rivals", "rival")
     )
-    tasks = min(blocks * blocks, MOST_TASKS)
-    left = keyed.withColumn("partner", F.explode(every)).repartition(tasks, "block", "partner")
-    right = keyed.select(
-        F.explode(every).alias("block"),
-        F.col("block").alias("partner"),
-        F.col("label").alias("other"),
-        F.col("v").alias("w"),
-    ).repartition(tasks, "block", "partner")
+    # the blocks any point of which is compared with a cluster, under columns of their own
+    met = left.select(*(F.col(name).alias(name) for name in ("mine", "block", "other"))).distinct()
+    right = keyed.select(F.col("label").alias("other"), F.col("block").alias("partner"), F.col("v").alias("w")).join(met, "other")
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     kind = points.schema[point].dataType.simpleString()
-    sums = left.groupBy("block", "partner").cogroup(right.groupBy("block", "partner")).applyInPandas(
+    sums = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         _block_sums, f"point {kind}, label int, other int, distance double, members bigint"
     )
     per_cluster = sums.groupBy("point", "label", "other").agg(

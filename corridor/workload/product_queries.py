@@ -410,11 +410,44 @@ SILHOUETTE = f"""
 )
 def ml_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the days' hour shares under fixed labels."""
-    labelled = trip_profile(spark, sf_dir).join(fixed_patterns(spark, sf_dir), "date")
-    points = settle(labelled.select("date", "pattern_type", F.array(*HOUR_COLUMNS).alias("shares")), "points")
+    points = labelled_shares(spark, sf_dir)
     return places(clustering.mean_silhouette(points, "date", "pattern_type", "shares"), 6, "silhouette")
 
 
+def labelled_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = trip_profile(spark, sf_dir).join(fixed_patterns(spark, sf_dir), "date")
+    return settle(labelled.select("date", "pattern_type", F.array(*HOUR_COLUMNS).alias("shares")), "points")
+
+
+# How much of a day falls where the whole day has its most: clusters that lie apart.
+PEAKS = f"""SELECT date, list_position([{", ".join(f'"{h}"' for h in range(24))}],
+    greatest({", ".join(f'"{h}"' for h in range(24))})) - 1 AS peak FROM daily_profile"""
+TO_CENTRE = " + ".join(f'power(p."{h}" - c.m{h}, 2)' for h in range(24))
+
+
+@query(
+    "ml_silhouette_work",
+    statement(
+        """SELECT CAST(SUM(n) FILTER (other = peak OR least <= 1.000000001::DOUBLE * (
+                 SELECT MIN(o.most) FROM bounds o WHERE o.date = b.date AND o.other <> b.peak)) AS BIGINT) AS compared,
+               ANY_VALUE(pairs) AS pairs
+           FROM bounds b""",
+        peaks=PEAKS,
+        centres=f"""SELECT peak AS other, COUNT(*) AS n, {", ".join(f'AVG("{h}") AS m{h}' for h in range(24))},
+            {" + ".join(f'VAR_POP("{h}")' for h in range(24))} AS spread FROM daily_profile JOIN peaks USING (date) GROUP BY 1""",
+        bounds=f"""SELECT p.date, k.peak, c.other, c.n, sqrt({TO_CENTRE}) AS least, sqrt({TO_CENTRE} + c.spread) AS most,
+              CAST((SELECT COUNT(*) * COUNT(*) FROM daily_profile) AS BIGINT) AS pairs
+            FROM daily_profile p JOIN peaks k USING (date), centres c""",
+    ),
+)
+def ml_silhouette_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distances the silhouette of days under their busiest hour takes, of those between all days."""
+    shares = F.array(*HOUR_COLUMNS)
+    peak = (F.array_position(shares, F.array_max(shares)) - 1).cast("int")
+    points = settle(trip_profile(spark, sf_dir).select("date", peak.alias("peak"), shares.alias("shares")), "points")
+    return clustering.silhouette_work(points, "date", "peak", "shares")
+
+
 @query("ml_select_k", statement("SELECT date, cluster, k, silhouette FROM km_chosen", **ACTIVITY_CLUSTERS))
 def ml_select_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The days of hourly activity under the chosen number of clusters."""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -115,6 +116,32 @@ def test_silhouette_known_value(spark, per_block):
     assert clustering.mean_silhouette(points, "i", "label", "v").count() == 1
 
 
+def test_silhouette_skips_clusters_that_cannot_be_nearest(spark):
+    rng = np.random.default_rng(3)
+    for apart, most in ((50.0, 0.35), (0.5, 1.0)):
+        # eight clusters of different size, one of a single point, far apart or mixed
+        centres = rng.normal(size=(8, 3)) * apart
+        label = np.minimum(rng.integers(0, 8, 400) + rng.integers(0, 2, 400), 7)
+        label[label == 6] = 7
+        label[0] = 6
+        v = centres[label] + rng.normal(size=(400, 3))
+        points = spark.createDataFrame([(i, int(c), x.tolist()) for i, (c, x) in enumerate(zip(label, v, strict=True))], "i int, label int, v array<double>")
+        far = np.sqrt(((v[:, None] - v[None]) ** 2).sum(axis=2))
+        want = {}
+        for i in range(400):
+            mean = {c: far[i, label == c].sum() / max(1, (label == c).sum() - (c == label[i])) for c in set(label.tolist())}
+            a, b = mean.pop(label[i]), min(mean.values())
+            want[i] = (b - a) / max(a, b) if (label == label[i]).sum() > 1 else 0.0
+        got = {r["i"]: r["silhouette"] for r in clustering.silhouette_samples(points, "i", "label", "v", 60).collect()}
+        assert got.keys() == want.keys()
+        assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+        work = clustering.silhouette_work(points, "i", "label", "v").first()
+        assert work["pairs"] == 400 * 400 and sum((label == c).sum() ** 2 for c in range(8)) < work["compared"] <= most * 160_000
+    none = points.limit(0)
+    assert clustering.silhouette_samples(none, "i", "label", "v").count() == 0
+    assert tuple(clustering.silhouette_work(none, "i", "label", "v").first()) == (0, 0)
+
+
 def test_silhouette_of_a_single_point_cluster_is_zero(spark):
     points = spark.createDataFrame(
         [(1, 0, [0.0]), (2, 0, [1.0]), (3, 1, [9.0])], "i int, label int, v array<double>"
