@@ -6,7 +6,7 @@ import json
 import sys
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
-from math import ceil
+from math import ceil, fsum
 
 import numpy as np
 import pandas as pd
@@ -173,12 +173,14 @@ def _rival_clusters(keyed: DataFrame) -> tuple[DataFrame, list[dict]]:
     """
     by_place = keyed.select("label", F.posexplode("v").alias("place", "x"))
     fitted = by_place.groupBy("label", "place").agg(F.avg("x").alias("mean"), F.var_pop("x").alias("spread"), F.count("*").alias("n"))
-    clusters = fitted.groupBy("label").agg(
-        F.sort_array(F.collect_list(F.struct("place", "mean")))["mean"].alias("centre"),
-        F.sum("spread").alias("spread"),
-        F.max("n").alias("n"),
-    )
-    held = sorted((row.asDict() for row in clusters.collect()), key=lambda cluster: cluster["label"])
+    # a row for each coordinate of a centre
+    found: dict[int, list] = {}
+    for row in sorted(fitted.collect(), key=lambda row: (row["label"], row["place"])):
+        found.setdefault(row["label"], []).append(row)
+    held = [
+        {"label": label, "centre": [r["mean"] for r in own], "spread": fsum(r["spread"] for r in own), "n": own[0]["n"]}
+        for label, own in found.items()
+    ]
     known = F.expr(f"from_json('{json.dumps(held)}', 'array<struct<label int, centre array<double>, spread double, n bigint>>')")
     far = "aggregate(zip_with(v, c.centre, (x, y) -> (x - y) * (x - y)), 0.0D, (a, b) -> a + b)"
     bounds = F.expr(
