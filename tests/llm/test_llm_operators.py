@@ -367,6 +367,24 @@ def test_language(spark):
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_language_learns_from_every_row(spark):
+    rows = [(k, prose(k, 12, "ab"), "aa") for k in range(1500)] + [(5000 + k, prose(k, 12, "xyz"), "bb") for k in range(10)]
+    rare = [(9000, prose(9000, 12).translate(str.maketrans("elorintasb", "βγδζθκλμνξ")), "aa")]
+    docs = table(spark, rows + rare)
+    model = language.learn(docs)
+    # the one row of other letters has a centroid of its own
+    assert model.nearest(rare[0][1])[:2] == ("aa", pytest.approx(1))
+    # the split and order of rows change nothing
+    split = language.learn(docs.repartition(7))
+    assert (split.centers == model.centers).all() and split.floor == model.floor
+    # what the rows say when clustered at once
+    frequency = sum(language.grams(text) > 0 for _, text, _ in rows + rare)
+    assert np.allclose(model.weight, np.log((1 + len(rows + rare)) / (1 + frequency)) + 1, atol=1e-5)
+    texts = [text for _, text, name in rows + rare if name == "aa"]
+    nearest = [max(model.vector(text) @ model.centers[:, model.owner == 0]) for text in texts]
+    assert abs(model.floor["aa"] - language.SLACK * np.quantile(nearest, 0.01)) < 1e-4
+
+
 def test_toxicity_on_held_out_rows(spark):
     pick = random.Random(3)
     rows, labels = [], []
