@@ -16,6 +16,10 @@ from corridor.plans import silver
 from corridor.session import settle
 
 
+# Landed rows one task recodes and sums; codes with several targets make them a few times as many.
+ROWS_A_PIECE = 500_000
+
+
 def _fingerprint(columns: list[str]) -> list[Column]:
     """Folds that do not depend on the order of rows, and tell repeated rows apart by their number."""
     whole = F.xxhash64(*columns)
@@ -58,18 +62,21 @@ def _ledger(spark: SparkSession, table: str, like: DataFrame) -> DataFrame:
 def refresh_trips(bronze: DataFrame, mapping: DataFrame, table: str, ledger: str) -> list[str]:
     """Bring the silver trips of changed days up to date; returns those days.
 
-    The landed rows are read once for the fingerprints and once more for the changed days alone, with
-    a filter on the day that a table partitioned by it answers by its folders.
+    The landed rows are read once for the fingerprints and twice more for the changed days alone, to cut
+    ranges and to fill them, with a filter on the day that a table partitioned by it answers by its folders.
+    They are shuffled once.
     """
     spark = bronze.sparkSession
     needed = bronze.select("date", "period", "origin", "destination", "travels", "travels_km")
     now = settle(day_fingerprints(needed, "date", mapping), "fingerprints")
     days = changed_days(now, _ledger(spark, ledger, now))
     part = needed.filter(F.col("date").isin([F.lit(day).cast("date") for day in days])) if days else loads.empty_like(needed)
-    rows = silver.trips(part, mapping)
+    landed = now.filter(F.col("day").isin([F.lit(day).cast("date") for day in days])).agg(F.sum("n_rows")).first()[0] or 0
+    pieces = max(spark.sparkContext.defaultParallelism, -(-landed // ROWS_A_PIECE))
+    rows = silver.trips_by_day(part, mapping, pieces)
     loads.create_if_absent(loads.empty_like(rows), table, ["date"])
     if days:
-        loads.replace_days(rows, table, days)
+        loads.replace_days(rows, table, days, placed=True)
         loads.replace_table(now, ledger)
     return days
 

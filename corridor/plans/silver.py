@@ -56,6 +56,20 @@ def trips(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     return aggregates.by_od_hour(mapped).select(*SILVER_TRIPS.fieldNames())
 
 
+def trips_by_day(bronze: DataFrame, mapping: DataFrame, pieces: int) -> DataFrame:
+    """The rows of ``trips``, each day in one or a few of ``pieces`` partitions, ready to be written by day.
+
+    Landed rows are shuffled once, to ranges of day and hour; with the small code map broadcast, the
+    lookups, which may multiply them, and the sum follow in the same stage. They do not fold on the map
+    side: ``trips`` shuffles less where many landed rows share a group and nothing is written by day.
+    """
+    # the cast proper comes after the lookups: an hour that is none fails only where its zones are known
+    hour = F.expr("try_cast(period AS INT)").alias("hour")
+    landed = bronze.select("date", "period", "origin", "destination", "travels", "travels_km", hour)
+    mapped = joins.recode_both_ends(landed.repartitionByRange(pieces, "date", "hour"), mapping)
+    return aggregates.by_od_hour(mapped, "hour").select(*SILVER_TRIPS.fieldNames())
+
+
 def od_totals(bronze: DataFrame, mapping: DataFrame) -> DataFrame:
     """OD sums under statistical codes straight from landed trips: the same
     numbers as summing ``trips`` again, with one shuffle instead of two."""

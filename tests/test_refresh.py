@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from corridor.operators import aggregates, loads
 from corridor.plans import bronze, refresh, silver
 from corridor.schemas import RAW_TRIPS
+from corridor.session import settle
 
 TRIPS = "date date, period string, origin string, destination string, travels double, travels_km double, note string"
 DAY = date(2024, 1, 1)
@@ -89,6 +91,44 @@ def test_partials_equal_a_full_recomputation(spark, database, mapping):
     assert refreshed(late) == [0, 2]
 
 
+def test_a_load_shuffles_landed_rows_once(spark, database, mapping, monkeypatch):
+    written = []
+    overwrite = loads._overwrite_partitions
+
+    def seen(df, table):
+        written.append(df._jdf.queryExecution().executedPlan().toString())
+        overwrite(df, table)
+
+    monkeypatch.setattr(loads, "_overwrite_partitions", seen)
+    codes = settle(mapping, "codes")
+    refresh.refresh_trips(landed(spark, {0: [1], 1: [2, 2]}), codes, f"{database}.silver", f"{database}.ledger")
+    assert len(written) == 1 and len(re.findall(r"(?<!Broadcast)Exchange ", written[0])) == 1
+    assert rows(spark.table(f"{database}.silver").select("travels")) == [(1.0,), (4.0,)]
+
+
+def test_trips_by_day_are_the_trips_in_few_files(spark, database):
+    # codes with two targets, and one without any whose hour cannot be read
+    codes = settle(
+        spark.createDataFrame([("a", "A"), ("a", "B"), ("b", "B"), ("c", "B")], "distrito_mitma string, distrito_ine string"),
+        "codes",
+    )
+    raw = spark.range(6000).selectExpr(
+        "CASE WHEN id % 50 = 0 THEN NULL ELSE date_add(DATE '2024-01-01', CAST(id % 10 AS INT)) END AS date",
+        "CASE WHEN id % 5 = 4 THEN 'night' WHEN id % 40 = 1 THEN NULL WHEN id % 2 = 0 THEN '01' ELSE CAST(id % 24 AS STRING) END AS period",
+        "CASE WHEN id % 5 = 4 THEN 'z' ELSE substr('abc', CAST(id % 3 AS INT) + 1, 1) END AS origin",
+        "substr('cab', CAST(id % 7 % 3 AS INT) + 1, 1) AS destination",
+        "CAST(id AS DOUBLE) AS travels", "CASE WHEN id % 11 = 0 THEN NULL ELSE 1.5D END AS travels_km",
+    )
+    found = silver.trips_by_day(raw, codes, 3)
+    assert rows(found) == rows(silver.trips(raw, codes))
+    table, ledger = f"{database}.silver", f"{database}.ledger"
+    refresh.refresh_trips(raw, codes, table, ledger)
+    want = silver.trips(raw.filter("date IS NOT NULL"), codes)
+    assert rows(spark.table(table).select(*want.columns)) == rows(want)
+    # four tasks cut ten days at three places
+    assert spark.table(table).select(F.input_file_name()).distinct().count() <= 13
+
+
 def test_fingerprints_do_not_depend_on_order_but_on_repeats(spark):
     one = landed(spark, {0: [1, 2, 3], 1: [4, 4]})
     again = landed(spark, {1: [4, 4], 0: [3, 1, 2]}).repartition(4)
